@@ -67,9 +67,12 @@ def raw_table_parts(table_name: Column) -> dict[str, Column]:
 
 def _stable_text(name: str, data_type: T.DataType) -> Column:
     value = column(name)
+    text = value.cast("string")
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        value = value.try_cast("decimal(28,6)")
-    return F.coalesce(value.cast("string"), F.lit(""))
+        # A float's text depends on the Java version; whole millionths do not.
+        millionths = F.floor(value.cast("double") * 1e6 + 0.5).cast("string")
+        text = F.when(F.abs(value) < 9e12, millionths).otherwise(text)
+    return F.coalesce(text, F.lit(""))
 
 
 def record_id(columns: Iterable[str], types: Mapping[str, T.DataType]) -> Column:

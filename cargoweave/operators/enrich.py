@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cargoweave.functions.expressions import column, company_key
 from cargoweave.layout import UNKNOWN_COUNTRY, country_codes
-from cargoweave.operators.lookup import Lookup, found, left_lookup, lookup_table
+from cargoweave.operators.lookup import (
+    Lookup,
+    found,
+    hot_key_codes,
+    left_lookup,
+    lookup_table,
+    measured,
+)
 
 COUNTRY_COLUMNS = ("COUNTRY_OF_ORIGIN", "EXPORTER_COUNTRY", "IMPORTER_COUNTRY")
 
@@ -57,6 +65,7 @@ def map_country(df: DataFrame, country_column: str, names: Lookup) -> DataFrame:
 
 
 def map_countries(df: DataFrame, names: Lookup) -> DataFrame:
+    (names,) = measured(names)
     for country_column in COUNTRY_COLUMNS:
         df = map_country(df, country_column, names)
     return df
@@ -84,11 +93,12 @@ def fill_port(df: DataFrame, country_column: str, port_column: str, ports: Looku
 
 
 def fill_ports(df: DataFrame, ports: Lookup) -> DataFrame:
+    (ports,) = measured(ports)
     df = fill_port(df, "IMPORTER_COUNTRY", "PORT_OF_ARRIVAL", ports)
     return fill_port(df, "EXPORTER_COUNTRY", "PORT_OF_DEPARTURE", ports)
 
 
-def enrich_hs(df: DataFrame, descriptions: Lookup) -> DataFrame:
+def enrich_hs(df: DataFrame, descriptions: Lookup, hot: Sequence[int] | None = None) -> DataFrame:
     """Take description and replacement of a tariff code; both by the code as it came."""
     return left_lookup(
         df,
@@ -98,6 +108,7 @@ def enrich_hs(df: DataFrame, descriptions: Lookup) -> DataFrame:
             "HS_CODE": F.coalesce(found("new_HS_CODE"), F.col("HS_CODE")),
             "HS_CODE_DESCRIPTION": F.coalesce(found("HS_CODE_DESC"), F.col("HS_CODE_DESCRIPTION")),
         },
+        hot,
     )
 
 
@@ -165,30 +176,50 @@ def company_codes(
     return lookup_table(ranked, ["company_key"], ["position", "TA_CODE"], **options)
 
 
-def assign_ta_code(
-    df: DataFrame, country_column: str, name_column: str, ta_column: str, companies: Lookup
-) -> DataFrame:
-    """Fill a missing TA code by company name, within the country or any, as the lookup says."""
-    wanted = F.when(column(ta_column).isNull(), company_key(column(name_column)))
-    match: dict[str, Column] = {"company_key": wanted}
-    if "country" in companies.keys:
-        match["country"] = column(country_column)
-    return left_lookup(
-        df, companies, match, {ta_column: F.coalesce(column(ta_column), found("TA_CODE"))}
-    )
+class Side(NamedTuple):
+    """The columns of one party of a shipment."""
+
+    country: str
+    name: str
+    ta_code: str
+
+    def match(self, companies: Lookup) -> dict[str, Column]:
+        """Rows that have a TA code search for none."""
+        wanted = F.when(column(self.ta_code).isNull(), company_key(column(self.name)))
+        within = {"country": column(self.country)} if "country" in companies.keys else {}
+        return {"company_key": wanted, **within}
 
 
-def assign_exporter_ta_code(df: DataFrame, companies: Lookup) -> DataFrame:
-    return assign_ta_code(df, "EXPORTER_COUNTRY", "EXPORTER_NAME", "EXPORTER_TA_CODE", companies)
+EXPORTER = Side("EXPORTER_COUNTRY", "EXPORTER_NAME", "EXPORTER_TA_CODE")
+IMPORTER = Side("IMPORTER_COUNTRY", "IMPORTER_NAME", "IMPORTER_TA_CODE")
 
 
-def assign_importer_ta_code(df: DataFrame, companies: Lookup) -> DataFrame:
-    return assign_ta_code(df, "IMPORTER_COUNTRY", "IMPORTER_NAME", "IMPORTER_TA_CODE", companies)
+def assign_ta_code(
+    df: DataFrame, side: Side, companies: Lookup, hot: Sequence[int] | None = None
+) -> DataFrame:
+    """Fill a missing TA code by company name, within the country or any, as the lookup says."""
+    code = F.coalesce(column(side.ta_code), found("TA_CODE"))
+    return left_lookup(df, companies, side.match(companies), {side.ta_code: code}, hot)
 
 
 def assign_ta_codes(
-    df: DataFrame, companies: Lookup, importer_companies: Lookup | None = None
+    df: DataFrame,
+    companies: Lookup,
+    importer_companies: Lookup | None = None,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
-    """Both sides; scope ``any`` needs one lookup per side, as the present countries differ."""
-    df = assign_exporter_ta_code(df, companies)
-    return assign_importer_ta_code(df, importer_companies or companies)
+    """Both sides; scope ``any`` needs one lookup per side, as the present countries differ.
+
+    For lookups too large to broadcast, the frequent companies of both sides are
+    found in one pass over ``probe``: a table with the same parties as ``df`` that
+    is cheaper to compute, or ``df`` itself.
+    """
+    lookups = measured(companies, importer_companies or companies)
+    sides = (EXPORTER, IMPORTER)
+    hot: list[list[int]] = [[], []]
+    if not all(lookup.small for lookup in lookups):
+        codes = [k.key_code(side.match(k)) for side, k in zip(sides, lookups)]
+        hot = hot_key_codes(df if probe is None else probe, *codes)
+    for side, lookup, frequent in zip(sides, lookups, hot):
+        df = assign_ta_code(df, side, lookup, frequent)
+    return df

@@ -5,7 +5,7 @@ Two plans, chosen by the measured size of the lookup:
 * A lookup proven to be small is broadcast; the fact is not shuffled.
 * Any other lookup is joined by a shuffle. Keys that hold a large share of the
   fact's rows are looked up in a broadcast of just those keys (at most
-  ``HOT_KEYS`` rows), and rows that are hot or have no key at all are spread
+  ``HOT_KEYS`` of them), and rows that are hot or have no key at all are spread
   evenly instead of meeting in one task.
 """
 
@@ -29,31 +29,50 @@ SPREAD = 1_000_000
 
 @dataclass(frozen=True)
 class Lookup:
-    """A lookup table ready to join: its keys, and whether it may be broadcast."""
+    """A lookup table: its rows as they came, its keys, and how to join it.
 
-    frame: DataFrame
+    ``on_duplicate`` says what a repeated key does: ``min`` keeps the smallest
+    row of values, ``error`` fails the job, ``expand`` keeps all and so
+    multiplies the matching fact rows. ``small`` is None until measured.
+    """
+
+    rows: DataFrame
     keys: tuple[str, ...]
     values: tuple[str, ...]
-    small: bool
-    unique: bool = True
+    on_duplicate: str = "min"
+    broadcast_bytes: int = BROADCAST_BYTES
+    small: bool | None = None
+
+    @property
+    def unique(self) -> bool:
+        return self.on_duplicate != "expand"
+
+    def table(self) -> DataFrame:
+        """The rows to join: one per key, unless repeated keys are to expand."""
+        if not self.unique:
+            return self.rows
+        winner = F.min(F.struct(*map(column, self.values)))
+        if self.on_duplicate == "error":
+            winner = F.when(F.count(F.lit(1)) == 1, winner).otherwise(
+                F.raise_error(F.lit(f"lookup has repeated keys in {', '.join(self.keys)}"))
+            )
+        best = self.rows.groupBy(*map(column, self.keys)).agg(winner.alias("_winner"))
+        return best.select(*map(column, self.keys), "_winner.*")
+
+    def typed(self, match: Mapping[str, Column]) -> dict[str, Column]:
+        """The fact's expression for each key, in the key's own type."""
+        types = self.rows.schema
+        return {k: match[k].try_cast(types[k].dataType) for k in self.keys}
 
-    def with_plan(self, *, small: bool) -> Lookup:
-        return replace(self, small=small)
+    def key_code(self, match: Mapping[str, Column]) -> Column:
+        """One hash for all key columns; NULL when a key is missing."""
+        return _key_code(list(self.typed(match).values()))
 
     def key_table(self) -> DataFrame:
         """The distinct keys, hinted for broadcast when the lookup is small."""
-        keys = self.frame.select(*self.keys)
-        keys = keys if self.unique else keys.distinct()
-        return F.broadcast(keys) if self.small else keys
-
-
-def measured_bytes(table: DataFrame) -> int:
-    """Size of the table's rows, counted by one aggregate over the whole table."""
-    row = sum(
-        (F.coalesce(F.octet_length(column(c).cast("string")), F.lit(0)) + 16 for c in table.columns),
-        F.lit(0),
-    )
-    return table.agg(F.sum(row.cast("bigint")).alias("size")).first()["size"] or 0
+        (known,) = measured(self)
+        keys = known.rows.select(*map(column, self.keys)).distinct()
+        return F.broadcast(keys) if known.small else keys
 
 
 def lookup_table(
@@ -63,26 +82,34 @@ def lookup_table(
     on_duplicate: str = "min",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> Lookup:
-    """Prepare a lookup: one row per key, NULL keys dropped, size measured.
-
-    ``on_duplicate`` says what a repeated key does: ``min`` keeps the smallest
-    row of values, ``error`` fails the job, ``expand`` keeps all and so
-    multiplies the matching fact rows.
-    """
+    """A lookup over a table's key and value columns; rows with a NULL key are left out."""
     if on_duplicate not in ("min", "error", "expand"):
         raise ValueError(f"on_duplicate must be min, error or expand, not {on_duplicate!r}")
     rows = table.select(*map(column, [*keys, *values])).dropna(subset=list(keys))
-    small = measured_bytes(rows) <= broadcast_bytes
-    unique = on_duplicate != "expand"
-    if unique:
-        winner = F.min(F.struct(*map(column, values)))
-        if on_duplicate == "error":
-            winner = F.when(F.count(F.lit(1)) == 1, winner).otherwise(
-                F.raise_error(F.lit(f"lookup has repeated keys in {', '.join(keys)}"))
-            )
-        rows = rows.groupBy(*map(column, keys)).agg(winner.alias("_winner"))
-        rows = rows.select(*map(column, keys), "_winner.*")
-    return Lookup(rows, tuple(keys), tuple(values), small, unique)
+    return Lookup(rows, tuple(keys), tuple(values), on_duplicate, broadcast_bytes)
+
+
+def measured(*lookups: Lookup) -> tuple[Lookup, ...]:
+    """Decide for each lookup whether it may be broadcast, by the size of all its rows.
+
+    One job for all lookups not measured yet; it returns one number for each.
+    """
+
+    def size(position: int, table: DataFrame) -> DataFrame:
+        widths = (F.coalesce(F.octet_length(column(c).cast("string")), F.lit(0)) for c in table.columns)
+        row = sum(widths, F.lit(16 * len(table.columns)).cast("bigint"))
+        return table.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).withColumn(
+            "position", F.lit(position)
+        )
+
+    unmeasured = [size(i, one.rows) for i, one in enumerate(lookups) if one.small is None]
+    if not unmeasured:
+        return lookups
+    sizes = {r["position"]: r["bytes"] for r in reduce(DataFrame.union, unmeasured).collect()}
+    return tuple(
+        replace(one, small=sizes[i] <= one.broadcast_bytes) if i in sizes else one
+        for i, one in enumerate(lookups)
+    )
 
 
 def found(name: str) -> Column:
@@ -90,25 +117,28 @@ def found(name: str) -> Column:
     return column(f"_found_{name}")
 
 
+def _key_code(keys: Sequence[Column]) -> Column:
+    return F.when(reduce(and_, (k.isNotNull() for k in keys)), F.xxhash64(*keys))
+
+
 def left_lookup(
     fact: DataFrame,
     lookup: Lookup,
     match: Mapping[str, Column],
     updates: Mapping[str, Column],
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Left join and replace columns in place; columns and their order stay as they are.
 
     ``match`` gives the fact expression for each lookup key. A NULL key matches
     nothing. ``updates`` gives the new expression of each replaced column and may
-    use :func:`found`.
+    use :func:`found`. ``hot`` are the hashes of frequent keys, where the caller
+    knows them from a cheaper table than ``fact``; any list gives the same rows.
     """
-    types = lookup.frame.schema
-    keyed = fact.withColumns(
-        {f"_key_{k}": match[k].try_cast(types[k].dataType) for k in lookup.keys}
-    )
-    table = lookup.frame.select(
-        *(column(k).alias(f"_at_{k}") for k in lookup.keys),
-        *(column(v).alias(f"_found_{v}") for v in lookup.values),
+    (lookup,) = measured(lookup)
+    keyed = fact.withColumns({f"_key_{k}": e for k, e in lookup.typed(match).items()})
+    table = lookup.table().withColumnsRenamed(
+        {k: f"_at_{k}" for k in lookup.keys} | {v: f"_found_{v}" for v in lookup.values}
     )
     on = reduce(and_, (column(f"_key_{k}") == column(f"_at_{k}") for k in lookup.keys))
     if lookup.small:
@@ -116,23 +146,26 @@ def left_lookup(
     elif fact.isStreaming or not lookup.unique:
         joined = keyed.join(table, on, "left")
     else:
-        joined = _skew_safe_join(keyed, table, lookup, on)
-    return joined.select(*(updates.get(c, column(c)).alias(c) for c in fact.columns))
+        if hot is None:
+            (hot,) = hot_key_codes(fact, lookup.key_code(match))
+        joined = _skew_safe_join(keyed, table, lookup, on, list(hot))
+    own = set(fact.columns)
+    return joined.withColumns(dict(updates)).drop(*(c for c in joined.columns if c not in own))
 
 
-def _skew_safe_join(keyed: DataFrame, table: DataFrame, lookup: Lookup, on: Column) -> DataFrame:
-    keys = [column(f"_key_{k}") for k in lookup.keys]
+def _skew_safe_join(
+    keyed: DataFrame, table: DataFrame, lookup: Lookup, on: Column, hot: list[int]
+) -> DataFrame:
     at = [column(f"_at_{k}") for k in lookup.keys]
-    has_key = reduce(and_, (k.isNotNull() for k in keys))
-    hot = hot_key_hashes(keyed.select(F.when(has_key, F.xxhash64(*keys)).alias("code")))
-    is_hot = F.xxhash64(*keys).isin(hot) if hot else F.lit(False)
+    code = _key_code([column(f"_key_{k}") for k in lookup.keys])
+    searches = code.isNotNull() & ~code.isin(hot) if hot else code.isNotNull()
 
     # Rows that need no shuffle join get a salt no lookup row carries. It hashes the
     # row and its partition's number, so it is the same when a task is run again.
     everything = [column(c) for c in keyed.columns]
     spread = F.lit(1) + F.pmod(F.xxhash64(F.spark_partition_id(), *everything), F.lit(SPREAD))
     rows = keyed.withColumn(
-        "_salt", F.when(has_key & ~is_hot, F.lit(0).cast("bigint")).otherwise(spread)
+        "_salt", F.when(searches, F.lit(0).cast("bigint")).otherwise(spread)
     )
     joined = rows.join(
         table.withColumn("_at_salt", F.lit(0).cast("bigint")),
@@ -144,27 +177,31 @@ def _skew_safe_join(keyed: DataFrame, table: DataFrame, lookup: Lookup, on: Colu
 
     # One row per key and at most HOT_KEYS hashes: a bounded broadcast.
     values = [f"_found_{v}" for v in lookup.values]
-    hot_rows = table.filter(F.xxhash64(*at).isin(hot)).select(
-        *(a.alias(f"_hot_{k}") for a, k in zip(at, lookup.keys)),
-        *(column(v).alias(f"_hot{v}") for v in values),
+    hot_rows = table.filter(F.xxhash64(*at).isin(hot)).withColumnsRenamed(
+        {c: f"_hot{c}" for c in table.columns}
     )
-    hot_on = reduce(and_, (column(f"_key_{k}") == column(f"_hot_{k}") for k in lookup.keys))
+    hot_on = reduce(and_, (column(f"_key_{k}") == column(f"_hot_at_{k}") for k in lookup.keys))
     return joined.join(F.broadcast(hot_rows), hot_on, "left").withColumns(
         {v: F.coalesce(column(f"_hot{v}"), column(v)) for v in values}
     )
 
 
-def hot_key_hashes(codes: DataFrame) -> list[int]:
-    """Hashes that hold at least ``HOT_SHARE`` of the rows; never more than ``HOT_KEYS``.
+def hot_key_codes(fact: DataFrame, *codes: Column) -> list[list[int]]:
+    """For each column of key hashes, those that hold at least ``HOT_SHARE`` of the rows.
 
-    A frequent-items sketch merged from all partitions: one small row per task is
-    shuffled. What the sketch misses is only less well balanced, never wrong.
+    Frequent-items sketches merged from all partitions in one pass: one small row
+    per task is shuffled, and at most ``HOT_KEYS`` numbers per column return. What a
+    sketch misses is only less well balanced, never wrong.
     """
-    top = codes.agg(
+    names = [f"code{i}" for i in range(len(codes))]
+    row = fact.select(*(c.alias(n) for c, n in zip(codes, names))).agg(
         F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(code, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
+        *(F.expr(f"approx_top_k({n}, {HOT_KEYS}, {TRACKED_KEYS})").alias(n) for n in names),
     ).first()
     return [
-        t["item"] for t in top["top"] or []
-        if t["item"] is not None and t["count"] >= top["n"] * HOT_SHARE
+        [
+            t["item"] for t in row[n] or []
+            if t["item"] is not None and t["count"] >= row["n"] * HOT_SHARE
+        ]
+        for n in names
     ]

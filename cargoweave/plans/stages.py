@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargoweave.functions.expressions import data_type_of_name
 from cargoweave.operators import conform as C, enrich as E, quality as Q
-from cargoweave.operators.lookup import BROADCAST_BYTES, Lookup
+from cargoweave.operators.lookup import BROADCAST_BYTES, Lookup, hot_key_codes, measured
 from cargoweave.profiles import Profile, profile_for
 from cargoweave.sources.ledger import mark_processed, read_ledger
 from cargoweave.sources.tables import read_table, write_table
@@ -16,7 +16,7 @@ from cargoweave.sources.tables import read_table, write_table
 
 @dataclass(frozen=True)
 class Lookups:
-    """The prepared lookups of one country. Prepare once, use in every stage."""
+    """The measured lookups of one country. Prepare once, use in every stage."""
 
     countries: Lookup
     ports: Lookup
@@ -36,13 +36,13 @@ class Lookups:
         broadcast_bytes: int = BROADCAST_BYTES,
     ) -> Lookups:
         limit = {"broadcast_bytes": broadcast_bytes}
-        return cls(
-            countries=E.country_names(country_names, **limit),
-            ports=E.port_names(port_names, **limit),
-            hs=E.hs_descriptions(hs_descriptions, country, **limit),
-            units=E.unit_factors(units, country, **limit),
-            companies=E.company_codes(companies, **limit),
-        )
+        return cls(*measured(
+            E.country_names(country_names, **limit),
+            E.port_names(port_names, **limit),
+            E.hs_descriptions(hs_descriptions, country, **limit),
+            E.unit_factors(units, country, **limit),
+            E.company_codes(companies, **limit),
+        ))
 
 
 def stage_columns(raw: DataFrame, profile: Profile) -> DataFrame:
@@ -53,24 +53,29 @@ def stage_country(df: DataFrame, lookups: Lookups) -> DataFrame:
     return E.fill_ports(E.map_countries(df, lookups.countries), lookups.ports)
 
 
-def stage_hs(df: DataFrame, lookups: Lookups) -> DataFrame:
-    return E.enrich_hs(df, lookups.hs)
+def stage_hs(df: DataFrame, lookups: Lookups, probe: DataFrame | None = None) -> DataFrame:
+    """``probe``, here and below: an earlier table with the same keys, read to find hot ones."""
+    hot = None
+    if probe is not None and not lookups.hs.small:
+        (hot,) = hot_key_codes(probe, lookups.hs.key_code({"HS_CODE": F.col("HS_CODE")}))
+    return E.enrich_hs(df, lookups.hs, hot)
 
 
 def stage_quantity(df: DataFrame, lookups: Lookups) -> DataFrame:
     return E.convert_units(df, lookups.units)
 
 
-def stage_ta(df: DataFrame, lookups: Lookups) -> DataFrame:
-    return E.assign_ta_codes(df, lookups.companies)
+def stage_ta(df: DataFrame, lookups: Lookups, probe: DataFrame | None = None) -> DataFrame:
+    return E.assign_ta_codes(df, lookups.companies, probe=probe)
 
 
 def process(raw: DataFrame, profile: Profile, lookups: Lookups) -> DataFrame:
     """Raw table to processed table."""
-    df = stage_columns(raw, profile)
-    for stage in (stage_country, stage_hs, stage_quantity, stage_ta):
-        df = stage(df, lookups)
-    return df
+    conformed = stage_columns(raw, profile)
+    coded = stage_country(conformed, lookups)
+    df = stage_hs(coded, lookups, probe=conformed)
+    df = stage_quantity(df, lookups)
+    return stage_ta(df, lookups, probe=coded)
 
 
 def stage_audit(processed: DataFrame, lookups: Lookups) -> DataFrame:

@@ -81,6 +81,15 @@ def read_table(
     return reader.load(path) if path else reader.load()
 
 
+def deal_out(table: DataFrame) -> DataFrame:
+    """Use all cores on a table that would be read in fewer tasks than there are cores.
+
+    A table that is read in parallel anyway is returned unchanged.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def write_table(
     df: DataFrame,
     path: str | None = None,

@@ -41,7 +41,8 @@ def missing_fields(*present: str) -> str:
 def id_of(texts: str, numbers: str, order: str) -> str:
     parts = {c: f"coalesce(cast({c} as varchar), '')" for c in texts.split()}
     parts |= {
-        c: f"coalesce(cast(try_cast({c} as decimal(28,6)) as varchar), '')" for c in numbers.split()
+        c: f"coalesce(cast(cast(floor({c} * 1e6 + 0.5) as bigint) as varchar), '')"
+        for c in numbers.split()
     }
     return "md5(concat_ws('|', " + ", ".join(parts[c] for c in order.split()) + "))"
 

@@ -144,7 +144,9 @@ def conform_ar_import(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def company_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = E.assign_importer_ta_code(country_all(spark, sf_dir), companies(spark, sf_dir))
+    coded = E.assign_ta_code(
+        country_all(spark, sf_dir), E.IMPORTER, companies(spark, sf_dir)
+    )
     return C.company_file(coded, {
         "TA_CODE": "IMPORTER_TA_CODE",
         "COMPANY_TAX_ID": "IMPORTER_TAX_ID",
@@ -212,7 +214,7 @@ def companies(spark: SparkSession, sf_dir: str) -> E.Lookup:
 
 @query
 def ta_code_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.assign_exporter_ta_code(country_all(spark, sf_dir), companies(spark, sf_dir))
+    return E.assign_ta_code(country_all(spark, sf_dir), E.EXPORTER, companies(spark, sf_dir))
 
 
 @query
@@ -220,7 +222,7 @@ def ta_code_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = country_all(spark, sf_dir)
     present = E.present_countries(coded, "EXPORTER_COUNTRY")
     lookup = E.company_codes(D.company(spark, sf_dir), "any", present)
-    return E.assign_exporter_ta_code(coded, lookup)
+    return E.assign_ta_code(coded, E.EXPORTER, lookup)
 
 
 @query

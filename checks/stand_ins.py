@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cargoweave.operators.enrich import union_by_country
 from cargoweave.plans.stages import Lookups
 from cargoweave.profiles import AR_IMPORT_COLUMNS, CR_EXPORT, CR_IMPORT
+from cargoweave.sources.tables import deal_out, read_table
 
 # The codes that stand for the nations 0 to 24.
 NATION_CODES = "ADAEAFAGAIALAMAOAQARASATAUAWAXAZBABBBDBEBFBGBHBIBJ"
 
 
+@lru_cache(maxsize=64)
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def nation_code(key: Column) -> Column:
@@ -30,7 +34,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     seller = nation.toDF("sn_key", "sn_name")
     buyer = nation.toDF("cn_key", "cn_name")
     return (
-        base(spark, sf_dir, "lineitem")
+        deal_out(base(spark, sf_dir, "lineitem"))
         .join(base(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
         .join(base(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .join(base(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
