@@ -161,15 +161,15 @@ def hs_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_map(spark: SparkSession) -> DataFrame:
-    schema = "unit string, new_unit string, factor double"
+    columns = ("unit", "new_unit", "factor")
     return union_by_country({
-        "CR": spark.createDataFrame([
-            ("ECONOMY", "Kilogram", 1000.0), ("LARGE", "Tonne", 0.001),
-            ("MEDIUM", "Pieces", None), ("PROMO", "Pieces", 12.0),
-        ], schema),
-        "AR": spark.createDataFrame([
-            ("ECONOMY", "Gram", 1000000.0), ("SMALL", "Dozen", 0.5),
-        ], schema),
+        "CR": spark.sql(
+            "values ('ECONOMY', 'Kilogram', 1000.0D), ('LARGE', 'Tonne', 0.001D),"
+            " ('MEDIUM', 'Pieces', null), ('PROMO', 'Pieces', 12.0D)"
+        ).toDF(*columns),
+        "AR": spark.sql(
+            "values ('ECONOMY', 'Gram', 1000000.0D), ('SMALL', 'Dozen', 0.5D)"
+        ).toDF(*columns),
     })
 
 
