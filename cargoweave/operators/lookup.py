@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,7 +24,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 256
 HOT_SHARE = 0.0005
 TRACKED_KEYS = 10_000
-SPREAD = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -47,6 +46,7 @@ class Lookup:
     def unique(self) -> bool:
         return self.on_duplicate != "expand"
 
+    @cached_property
     def table(self) -> DataFrame:
         """The rows to join: one per key, unless repeated keys are to expand."""
         if not self.unique:
@@ -137,7 +137,7 @@ def left_lookup(
     """
     (lookup,) = measured(lookup)
     keyed = fact.withColumns({f"_key_{k}": e for k, e in lookup.typed(match).items()})
-    table = lookup.table().withColumnsRenamed(
+    table = lookup.table.withColumnsRenamed(
         {k: f"_at_{k}" for k in lookup.keys} | {v: f"_found_{v}" for v in lookup.values}
     )
     on = reduce(and_, (column(f"_key_{k}") == column(f"_at_{k}") for k in lookup.keys))
@@ -156,20 +156,17 @@ def left_lookup(
 def _skew_safe_join(
     keyed: DataFrame, table: DataFrame, lookup: Lookup, on: Column, hot: list[int]
 ) -> DataFrame:
-    at = [column(f"_at_{k}") for k in lookup.keys]
     code = _key_code([column(f"_key_{k}") for k in lookup.keys])
-    searches = code.isNotNull() & ~code.isin(hot) if hot else code.isNotNull()
+    at_code = F.xxhash64(*(column(f"_at_{k}") for k in lookup.keys))
 
-    # Rows that need no shuffle join get a salt no lookup row carries. It hashes the
-    # row and its partition's number, so it is the same when a task is run again.
-    everything = [column(c) for c in keyed.columns]
-    spread = F.lit(1) + F.pmod(F.xxhash64(F.spark_partition_id(), *everything), F.lit(SPREAD))
-    rows = keyed.withColumn(
-        "_salt", F.when(searches, F.lit(0).cast("bigint")).otherwise(spread)
-    )
-    joined = rows.join(
-        table.withColumn("_at_salt", F.lit(0).cast("bigint")),
-        on & (F.col("_salt") == F.col("_at_salt")),
+    # The key's hash is a second join column. Rows that need no shuffle join, hot or
+    # without a key, carry their partition's number there instead: that spreads them,
+    # needs no other column, and is the same when a task is run again.
+    searches = code.isNotNull() & ~code.isin(hot) if hot else code.isNotNull()
+    spread = F.lit(-1) - F.spark_partition_id()
+    joined = keyed.withColumn("_code", F.when(searches, code).otherwise(spread)).join(
+        table.withColumn("_at_code", at_code),
+        on & (F.col("_code") == F.col("_at_code")),
         "left",
     )
     if not hot:
@@ -177,7 +174,7 @@ def _skew_safe_join(
 
     # One row per key and at most HOT_KEYS hashes: a bounded broadcast.
     values = [f"_found_{v}" for v in lookup.values]
-    hot_rows = table.filter(F.xxhash64(*at).isin(hot)).withColumnsRenamed(
+    hot_rows = table.filter(at_code.isin(hot)).withColumnsRenamed(
         {c: f"_hot{c}" for c in table.columns}
     )
     hot_on = reduce(and_, (column(f"_key_{k}") == column(f"_hot_at_{k}") for k in lookup.keys))

@@ -147,4 +147,4 @@ def test_list_order_decides_between_countries(spark, parties):
     )
     lookup = E.company_codes(companies, "any", present)
     # AN stands behind ZW in the list, though not in the alphabet.
-    assert [r.TA_CODE for r in lookup.table().collect()] == ["ZW00000001"]
+    assert [r.TA_CODE for r in lookup.table.collect()] == ["ZW00000001"]

@@ -61,7 +61,7 @@ def test_repeated_key_can_expand_or_fail(fact, dim, rows):
 
 def test_winner_is_one_whole_row(spark, rows):
     dim = spark.createDataFrame([("a", "x", "2"), ("a", "y", "1")], "k string, p string, q string")
-    assert rows(lookup_table(dim, ["k"], ["p", "q"]).table()) == [("a", "x", "2")]
+    assert rows(lookup_table(dim, ["k"], ["p", "q"]).table) == [("a", "x", "2")]
 
 
 def test_keys_of_other_types_match_by_value(spark, rows):
@@ -110,15 +110,24 @@ def test_skew_safe_join_equals_broadcast_join(spark, skewed, no_broadcast):
         assert broadcast.exceptAll(other).isEmpty() and other.count() == 30_000
 
 
-def test_hot_and_missing_keys_are_spread(spark, skewed, conf, no_broadcast):
+def test_hot_and_missing_keys_are_spread(spark, skewed, conf, plan, no_broadcast):
     conf("spark.sql.adaptive.enabled", "false")
     conf("spark.sql.shuffle.partitions", "32")
     lookup = lookup_table(big_dim(spark), ["k"], ["v"], broadcast_bytes=0)
     fact = skewed.repartition(16)
-    joined = update(fact, lookup).withColumn("p", F.spark_partition_id())
-    largest = joined.groupBy("p").count().agg(F.max("count")).first()[0]
-    # Evenly dealt out that is about 940; one key alone would put 10,000 in one task.
-    assert largest < 5_000
+    assert "hashpartitioning(_key_k#" in (text := plan(update(fact, lookup))) and ", _code#" in text
+
+    def largest_task(df, value):
+        sizes = df.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
+            F.count(F.lit(1)).alias("n"), F.max(value).alias("v")
+        )
+        # The value is asked for, or Spark would leave the join out.
+        return sizes.agg(F.max("n"), F.max("v")).first()[0]
+
+    # Evenly dealt out that is about 940; left alone, a key's 10,000 meet in one task.
+    assert largest_task(update(fact, lookup), "value") < 5_000
+    table = lookup.table.withColumnRenamed("k", "k2")
+    assert largest_task(fact.join(table, F.expr("`key.1` = k2"), "left"), "v") >= 10_000
 
 
 def test_hot_keys_are_few_and_frequent(spark):
