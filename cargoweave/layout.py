@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import cache
 from importlib import resources
 from typing import NamedTuple
 
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 class Field(NamedTuple):
@@ -106,7 +106,14 @@ AUDITED_COLUMNS = (
 )
 
 # Codes the trade list has beyond the public standard, in their order.
-EXTRA_COUNTRY_CODES = ("OS", "AN", "KV", "AB", "ZZ", "EU")
+EXTRA_COUNTRIES = {
+    "OS": "South Ossetia Region",
+    "AN": "Netherlands Antilles",
+    "KV": "Kosovo",
+    "AB": "Abkhazia Region",
+    "ZZ": "N/A",
+    "EU": "Europe Union",
+}
 UNKNOWN_COUNTRY = "ZZ"
 
 
@@ -141,10 +148,10 @@ def company_schema() -> T.StructType:
 
 
 @cache
-def _iso_codes() -> tuple[str, ...]:
+def _iso_names() -> dict[str, str]:
     table = resources.files("tzdata").joinpath("zoneinfo", "iso3166.tab")
     lines = table.read_text(encoding="utf-8").splitlines()
-    return tuple(line.split("\t")[0] for line in lines if line and not line.startswith("#"))
+    return dict(line.split("\t")[:2] for line in lines if line and not line.startswith("#"))
 
 
 def country_codes(iso_codes: Iterable[str] | None = None) -> list[str]:
@@ -154,5 +161,15 @@ def country_codes(iso_codes: Iterable[str] | None = None) -> list[str]:
     Kingdom written UK instead of GB, then the extra codes. Pass ``iso_codes``
     to use another edition of the standard than the one tzdata carries.
     """
-    iso = _iso_codes() if iso_codes is None else iso_codes
-    return sorted({"UK" if code == "GB" else code for code in iso}) + list(EXTRA_COUNTRY_CODES)
+    iso = _iso_names() if iso_codes is None else iso_codes
+    return sorted({"UK" if code == "GB" else code for code in iso}) + list(EXTRA_COUNTRIES)
+
+
+def country_table(spark: SparkSession, names: Mapping[str, str] | None = None) -> DataFrame:
+    """The code list as a table ``position, code, name``.
+
+    Names are those of the public standard's table; ``names`` overrides any of them.
+    """
+    known = {**_iso_names(), "UK": "United Kingdom", **EXTRA_COUNTRIES, **(names or {})}
+    rows = [(i, code, known.get(code)) for i, code in enumerate(country_codes(), start=1)]
+    return spark.createDataFrame(rows, "position int, code string, name string")

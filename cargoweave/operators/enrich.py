@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -18,6 +18,7 @@ from cargoweave.operators.lookup import (
     lookup_table,
     measured,
 )
+from cargoweave.profiles import LOOKUP_HEADINGS, country_table_name
 
 COUNTRY_COLUMNS = ("COUNTRY_OF_ORIGIN", "EXPORTER_COUNTRY", "IMPORTER_COUNTRY")
 
@@ -30,6 +31,13 @@ def union_by_country(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def read_by_country(
+    read: Callable[[str], DataFrame], kind: str, countries: Sequence[str]
+) -> DataFrame:
+    """The lookup tables of several countries as one; ``read`` opens a table by its name."""
+    return union_by_country({c: read(country_table_name(kind, c)) for c in countries})
+
+
 def for_country(table: DataFrame, country: str) -> DataFrame:
     return table.filter(F.col("country") == country)
 
@@ -40,7 +48,8 @@ def country_names(table: DataFrame, **options) -> Lookup:
 
 
 def port_names(table: DataFrame, **options) -> Lookup:
-    """Lookup of unique countries; columns alpha2, short_name."""
+    """Lookup of unique countries; columns alpha2, short_name, or their source headings."""
+    table = table.withColumnsRenamed(LOOKUP_HEADINGS)
     return lookup_table(table, ["alpha2"], ["short_name"], **options)
 
 
@@ -52,8 +61,9 @@ def hs_descriptions(table: DataFrame, country: str, **options) -> Lookup:
 
 
 def unit_factors(table: DataFrame, country: str, **options) -> Lookup:
-    """Lookup of a country's units; columns country, unit, new_unit, factor."""
-    return lookup_table(for_country(table, country), ["unit"], ["new_unit", "factor"], **options)
+    """Lookup of a country's units; columns country, unit, new_unit, factor, or source headings."""
+    table = for_country(table, country).withColumnsRenamed(LOOKUP_HEADINGS)
+    return lookup_table(table, ["unit"], ["new_unit", "factor"], **options)
 
 
 def map_country(df: DataFrame, country_column: str, names: Lookup) -> DataFrame:

@@ -6,7 +6,8 @@ Two plans, chosen by the measured size of the lookup:
 * Any other lookup is joined by a shuffle. Keys that hold a large share of the
   fact's rows are looked up in a broadcast of just those keys (at most
   ``HOT_KEYS`` of them), and rows that are hot or have no key at all are spread
-  evenly instead of meeting in one task.
+  evenly instead of meeting in one task. The lookup's part in each task is known
+  to be small, one row per key, so it is hashed and the wide fact is not sorted.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cargoweave.functions.expressions import column
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+HASH_BYTES = 128 * 1024 * 1024
 HOT_KEYS = 256
 HOT_SHARE = 0.0005
 TRACKED_KEYS = 10_000
@@ -32,7 +34,7 @@ class Lookup:
 
     ``on_duplicate`` says what a repeated key does: ``min`` keeps the smallest
     row of values, ``error`` fails the job, ``expand`` keeps all and so
-    multiplies the matching fact rows. ``small`` is None until measured.
+    multiplies the matching fact rows. ``size`` is None until measured.
     """
 
     rows: DataFrame
@@ -40,7 +42,12 @@ class Lookup:
     values: tuple[str, ...]
     on_duplicate: str = "min"
     broadcast_bytes: int = BROADCAST_BYTES
-    small: bool | None = None
+    size: int | None = None
+
+    @property
+    def small(self) -> bool:
+        """Proven to fit a broadcast."""
+        return self.size is not None and self.size <= self.broadcast_bytes
 
     @property
     def unique(self) -> bool:
@@ -90,10 +97,7 @@ def lookup_table(
 
 
 def measured(*lookups: Lookup) -> tuple[Lookup, ...]:
-    """Decide for each lookup whether it may be broadcast, by the size of all its rows.
-
-    One job for all lookups not measured yet; it returns one number for each.
-    """
+    """Count the bytes of each lookup, all its rows, in one job for those not measured yet."""
 
     def size(position: int, table: DataFrame) -> DataFrame:
         widths = (F.coalesce(F.octet_length(column(c).cast("string")), F.lit(0)) for c in table.columns)
@@ -102,12 +106,12 @@ def measured(*lookups: Lookup) -> tuple[Lookup, ...]:
             "position", F.lit(position)
         )
 
-    unmeasured = [size(i, one.rows) for i, one in enumerate(lookups) if one.small is None]
+    unmeasured = [size(i, one.rows) for i, one in enumerate(lookups) if one.size is None]
     if not unmeasured:
         return lookups
     sizes = {r["position"]: r["bytes"] for r in reduce(DataFrame.union, unmeasured).collect()}
     return tuple(
-        replace(one, small=sizes[i] <= one.broadcast_bytes) if i in sizes else one
+        replace(one, size=sizes[i]) if i in sizes else one
         for i, one in enumerate(lookups)
     )
 
@@ -164,11 +168,12 @@ def _skew_safe_join(
     # needs no other column, and is the same when a task is run again.
     searches = code.isNotNull() & ~code.isin(hot) if hot else code.isNotNull()
     spread = F.lit(-1) - F.spark_partition_id()
-    joined = keyed.withColumn("_code", F.when(searches, code).otherwise(spread)).join(
-        table.withColumn("_at_code", at_code),
-        on & (F.col("_code") == F.col("_at_code")),
-        "left",
-    )
+    rows = keyed.withColumn("_code", F.when(searches, code).otherwise(spread))
+    coded = table.withColumn("_at_code", at_code)
+    partitions = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if (lookup.size or 0) <= HASH_BYTES * partitions:
+        coded = coded.hint("shuffle_hash")
+    joined = rows.join(coded, (F.col("_code") == F.col("_at_code")) & on, "left")
     if not hot:
         return joined
 

@@ -91,6 +91,18 @@ def remediate(quarantined: DataFrame, lookups: Lookups) -> DataFrame:
     return Q.with_violations(df)
 
 
+def write_split(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write accepted and quarantined rows in one pass, to folders by ``outcome``.
+
+    Quarantined rows keep their ``violations``; accepted rows have none.
+    """
+    accepted = F.size("violations") == 0
+    split = Q.with_violations(df).withColumn(
+        "outcome", F.when(accepted, "accepted").otherwise("quarantined")
+    )
+    split.write.partitionBy("outcome").mode(mode).parquet(path)
+
+
 def run_table(
     spark: SparkSession,
     table_name: str,
@@ -100,15 +112,15 @@ def run_table(
     out: str,
     ledger_path: str,
 ) -> DataFrame:
-    """Process one raw table, write it, audit what was written, then mark it processed.
+    """Process one raw table, write it split, audit what was written, then mark it processed.
 
-    Output goes to new paths below ``out``. A run that fails leaves the ledger as
-    it was, so the table is taken up again.
+    Output goes to the table's own paths below ``out``, never to what is read. A run
+    that fails leaves the ledger as it was, so the table is taken up again.
     """
     profile = profile_for(country, data_type_of_name(table_name))
     target = f"{out}/{table_name}_islendi"
     processed = process(raw, profile, lookups)
-    write_table(processed, target, mode="overwrite")
+    write_split(processed, target, mode="overwrite")
     written = read_table(spark, target, schema=processed.schema)
     report = f"{target}_audit"
     write_table(stage_audit(written, lookups), report, mode="overwrite")

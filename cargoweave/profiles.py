@@ -128,3 +128,24 @@ def profile_for(country: str, data_type: str) -> Profile:
         return PROFILES[country.upper(), data_type]
     except KeyError:
         raise ValueError(f"no {data_type} profile for {country!r}") from None
+
+
+# Names of the per-country lookup tables, and headings that lookup
+# tables carry at their source, with the names the operators use.
+COUNTRY_TABLES = {
+    "hs": "{country}_hs_desc",
+    "units": "{country}_unit_of_quantity",
+    "companies": "{country}_kod_atama",
+}
+LOOKUP_HEADINGS = {
+    "Alpha-2 code": "alpha2",
+    "English short name (upper/lower case)": "short_name",
+    "UNIT_OF_QUANTITY": "unit",
+    "Yeni_Birim": "new_unit",
+    "Aksiyon": "factor",
+}
+
+
+def country_table_name(kind: str, country: str) -> str:
+    """Name of a country's lookup table; ``kind`` is hs, units or companies."""
+    return COUNTRY_TABLES[kind].format(country=country)

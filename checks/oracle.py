@@ -412,6 +412,8 @@ _BODIES = {
       where violations <> '') group by 1, 2""",
     "accepted_rows": "select * exclude (violations) from checked where violations = ''",
     "quarantined_rows": "select * from checked where violations <> ''",
+    "split_sinks": """select *, case when violations = '' then 'accepted' else 'quarantined' end
+      as outcome from checked""",
     "stage_columns": "select * from conformed",
     "stage_country": "select * from p_country",
     "stage_hs": described("conformed"),

@@ -320,6 +320,14 @@ def remediated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(S.remediate(Q.quarantined_rows(processed), lookups), "violations")
 
 
+@query
+def split_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and quarantined rows, written in one pass and read back."""
+    path = T.new_path(spark, "split")
+    S.write_split(process_full(spark, sf_dir), path)
+    return as_text(T.read_table(spark, path), "violations")
+
+
 # Stages
 
 

@@ -33,6 +33,15 @@ def test_country_codes_follow_the_rule():
     assert layout.country_codes(["GB", "FR"])[:2] == ["FR", "UK"]
 
 
+def test_country_table(spark):
+    rows = layout.country_table(spark, {"CR": "COSTA RICA"}).collect()
+    assert [r.code for r in rows] == layout.country_codes()
+    assert [r.position for r in rows] == list(range(1, 256))
+    names = {r.code: r.name for r in rows}
+    assert names["CR"] == "COSTA RICA" and names["ZZ"] == "N/A" and names["UK"] == "United Kingdom"
+    assert all(names.values())
+
+
 def test_profiles():
     assert len(profiles.CR_IMPORT.renames) == len(profiles.CR_EXPORT.renames) == 16
     assert profiles.CR_EXPORT.renames["VALUE (USD)"] == "CIF_VALUE"

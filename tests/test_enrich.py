@@ -148,3 +148,24 @@ def test_list_order_decides_between_countries(spark, parties):
     lookup = E.company_codes(companies, "any", present)
     # AN stands behind ZW in the list, though not in the alphabet.
     assert [r.TA_CODE for r in lookup.table.collect()] == ["ZW00000001"]
+
+
+def test_lookups_take_their_source_headings(spark, rows):
+    ports = spark.createDataFrame(
+        [("CR", "Costa Rica", 1)],
+        "`Alpha-2 code` string, `English short name (upper/lower case)` string, other int",
+    )
+    df = spark.createDataFrame([("CR", None)], "c string, p string")
+    assert rows(E.fill_port(df, "c", "p", E.port_names(ports))) == [("CR", "Costa Rica")]
+    tables = {
+        "CR_unit_of_quantity": spark.createDataFrame(
+            [("TON", "Kilogram", 1000.0)], "UNIT_OF_QUANTITY string, Yeni_Birim string, Aksiyon double"
+        ),
+        "AR_unit_of_quantity": spark.createDataFrame(
+            [("TON", "Gram", 1e6)], "UNIT_OF_QUANTITY string, Yeni_Birim string, Aksiyon double"
+        ),
+    }
+    units = E.read_by_country(tables.__getitem__, "units", ["CR", "AR"])
+    df = spark.createDataFrame([(2.0, "TON")], "q double, u string")
+    result = E.convert_units(df, E.unit_factors(units, "CR"), "u", "q")
+    assert rows(result) == [(2000.0, "Kilogram")]

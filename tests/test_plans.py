@@ -84,7 +84,12 @@ def test_run_table_writes_audits_and_marks(spark, raw, lookups):
     for _ in range(2):  # a second run replaces the output and marks nothing twice
         report = S.run_table(spark, name, raw, "CR", lookups, out, ledger)
     assert {r.check_name for r in report.collect()} >= {"null", "unknown_country", "unknown_unit"}
-    assert spark.read.parquet(f"{out}/{name}_islendi").count() == raw.count()
+    written = spark.read.parquet(f"{out}/{name}_islendi")
+    assert written.count() == raw.count()
+    assert {r.outcome for r in written.select("outcome").distinct().collect()} <= {
+        "accepted", "quarantined"
+    }
+    assert written.filter("(outcome = 'accepted') <> (size(violations) = 0)").isEmpty()
     assert [r.table_name for r in L.read_ledger(spark, ledger).collect()] == [name]
     with pytest.raises(ValueError, match="import from export"):
         S.run_table(spark, "yeni_veri_cr_2024_01", raw, "CR", lookups, out, ledger)
