@@ -108,8 +108,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return read_table(df.sparkSession, path, schema=df.schema)
 
 
-# One dialect for both directions, so that quotes inside values survive.
-_CSV = {"header": "true", "quote": '"', "escape": '"'}
+# One dialect for both directions, so that quotes and outer spaces of values survive.
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_csv(
