@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 from typing import NamedTuple
 
@@ -183,7 +184,10 @@ def company_codes(
     ranked = keyed.join(F.broadcast(present), "country", "left_semi").select(
         "company_key", position.alias("position"), "TA_CODE"
     )
-    return lookup_table(ranked, ["company_key"], ["position", "TA_CODE"], **options)
+    lookup = lookup_table(ranked, ["company_key"], ["position", "TA_CODE"], **options)
+    # Measured before the semi-join: a bound that needs no pass over the shipments.
+    (bound,) = measured(lookup_table(keyed, ["company_key"], ["country", "TA_CODE"]))
+    return replace(lookup, size=bound.size)
 
 
 class Side(NamedTuple):
