@@ -14,7 +14,7 @@ BUDGET = 1.5
 EPOCHS = 2
 SEED = "mix"
 #: Documents a source may add to come nearer to its target.
-FILLS = 2
+FILLS = 3
 #: Sources up to which their plan is sent to all tasks (some 20 MB).
 SMALL_PLAN = 100_000
 
@@ -61,12 +61,12 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
 
 
 def plan(sized: DataFrame) -> DataFrame:
-    """One row for each source: source, source_size, target, whole, last, fills.
+    """One row for each source: source, source_size, target, whole, left, last, fills.
 
-    Every document is taken ``whole`` times, and once more if its draw is not after ``last``
-    or is among ``fills``. ``last`` is where the sizes, summed in the order of the draws,
-    still fit what the whole repetitions leave; fills are, one after the other, the largest
-    documents that fit the rest. The running sum is made of 4,096 stretches of draws by
+    Every document is taken ``whole`` times. ``left`` is what whole repetitions leave of the
+    target; documents of at most this size are taken once more if their draw is not after
+    ``last``, or is among ``fills``. ``last`` is where sizes, summed in the order of the draws,
+    still fit; fills are, one after the other, the largest documents that fit the rest. The running sum is made of 4,096 stretches of draws by
     source, so that a source with a third of all rows is not summed in one task.
     """
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")).alias("key")
@@ -81,17 +81,17 @@ def plan(sized: DataFrame) -> DataFrame:
         "aims",
     )
     stretch = F.substring("draw", 1, 3).alias("stretch")
-    sums = units.groupBy("key", stretch).agg(F.sum("size").alias("size"))
+    fitting = staged(units.join(aims.select("key", "left"), "key").where("size <= left").select("key", "draw", "size", "left", stretch), "fitting")
+    sums = fitting.groupBy("key", "stretch").agg(F.sum("size").alias("size"))
     so_far = Window.partitionBy("key").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("key", "stretch", F.coalesce(F.sum("size").over(so_far), F.lit(0)).alias("before"))
     within = Window.partitionBy("key", "stretch").orderBy("draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = (
-        units.select("key", "draw", "size", stretch).withColumn("inner", F.sum("size").over(within))
-        .join(sums, ["key", "stretch"]).select("key", "draw", "size", (F.col("before") + F.col("inner")).alias("upto"))
+        fitting.withColumn("inner", F.sum("size").over(within))
+        .join(sums, ["key", "stretch"]).select("key", "draw", "left", (F.col("before") + F.col("inner")).alias("upto"))
     )
     fits = staged(
-        summed.join(aims.select("key", "left"), "key").where("upto <= left")
-        .groupBy("key").agg(F.max("draw").alias("last"), F.max("upto").alias("used")),
+        summed.where("upto <= left").groupBy("key").agg(F.max("draw").alias("last"), F.max("upto").alias("used")),
         "fits",
     )
     state = aims.join(fits, "key", "left").select(
@@ -110,19 +110,19 @@ def plan(sized: DataFrame) -> DataFrame:
             F.when(F.col("best").isNull(), F.col("fills")).otherwise(F.array_append("fills", F.col("best.draw"))).alias("fills"),
             (F.col("rest") - F.coalesce(F.col("best.size"), F.lit(0))).alias("rest"),
         )
-    return staged(state.select("source", "source_size", "target", "whole", "last", "fills"), "plan")
+    return staged(state.select("source", "source_size", "target", "whole", "left", "last", "fills"), "plan")
 
 
-def with_copies(rows: DataFrame, made: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, source, ...) with source_size, target and copies by a plan."""
+def with_copies(rows: DataFrame, made: DataFrame, size: Column) -> DataFrame:
+    """``rows`` (doc_id, source, ...) of this ``size`` with source_size, target and copies by a plan."""
     few = made.limit(SMALL_PLAN + 1).count() <= SMALL_PLAN
     made = made.withColumnsRenamed({c: f"_{c}" for c in made.columns})
     place = draw(F.col("doc_id"))
-    again = (place <= F.col("_last")) | F.array_contains("_fills", place)
+    again = ((place <= F.col("_last")) & (size <= F.col("_left"))) | F.array_contains("_fills", place)
     return rows.join(F.broadcast(made) if few else made, F.col("source").cast("string").eqNullSafe(F.col("_source")), "left").select(
         *[c for c in rows.columns if c not in ("source_size", "target", "copies")],
         F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-        (F.col("_whole") + again.cast("int")).alias("copies"),
+        (F.col("_whole") + (again & (F.col("_whole") < EPOCHS)).cast("int")).alias("copies"),
     )
 
 
@@ -134,7 +134,7 @@ def taken(docs: DataFrame) -> DataFrame:
     doc_id within a source are drawn together.
     """
     sized = staged(sizes(docs), "sizes")
-    return with_copies(sized, plan(sized)).select(
+    return with_copies(sized, plan(sized), F.col("size")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken")
     )
 
@@ -142,4 +142,9 @@ def taken(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """``docs`` with every row as often as the mix takes it."""
     made = plan(sizes(docs))
-    return with_copies(docs, made).where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    clash = [c for c in docs.columns if c in ("source_size", "target", "copies", "_copy")]
+    repeated = with_copies(docs.withColumnsRenamed({c: f"{c}_own" for c in clash}), made, word_count(F.col("text")))
+    return (
+        repeated.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select(*[F.col(f"{c}_own").alias(c) if c in clash else F.col(c) for c in docs.columns])
+    )

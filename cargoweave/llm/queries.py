@@ -151,26 +151,43 @@ ORACLE_SQL: dict[str, str] = {
                 from leveled, level))
     ),
     units as (select source, draw, sum(size)::bigint as size from sized group by source, draw),
-    summed as (select *, sum(size) over (partition by source order by draw rows unbounded preceding) as upto from units),
+    summed as (
+        select u.*, sum(u.size) over (partition by u.source order by draw rows unbounded preceding) as upto
+        from units u join aims a on a.source is not distinct from u.source where u.size <= room
+    ),
     prefix as (
         select a.*, coalesce(max(draw) filter (where upto <= room), '') as last,
             room - coalesce(max(upto) filter (where upto <= room), 0) as rest
-        from aims a join summed s on s.source is not distinct from a.source
+        from aims a left join summed s on s.source is not distinct from a.source
         group by a.source, a.source_size, a.target, a.whole, a.room
     ),
     fill1 as (
         select p.source, max((u.size, u.draw)) as best from prefix p join units u on u.source is not distinct from p.source
         where u.size > 0 and u.size <= rest and u.draw > last group by p.source
     ),
-    filled as (
-        select p.*, best[2] as one, rest - coalesce(best[1], 0) as rest2 from prefix p left join fill1 f on f.source is not distinct from p.source
+    filled1 as (
+        select p.*, best[2] as draw1, rest - coalesce(best[1], 0) as rest1
+        from prefix p left join fill1 f on f.source is not distinct from p.source
     ),
     fill2 as (
-        select p.source, max((u.size, u.draw)) as best from filled p join units u on u.source is not distinct from p.source
-        where u.size > 0 and u.size <= rest2 and u.draw > last and u.draw is distinct from one group by p.source
+        select p.source, max((u.size, u.draw)) as best from filled1 p join units u on u.source is not distinct from p.source
+        where u.size > 0 and u.size <= rest1 and u.draw > last and u.draw is distinct from draw1 group by p.source
+    ),
+    filled2 as (
+        select p.*, best[2] as draw2, rest1 - coalesce(best[1], 0) as rest2
+        from filled1 p left join fill2 f on f.source is not distinct from p.source
+    ),
+    fill3 as (
+        select p.source, max((u.size, u.draw)) as best from filled2 p join units u on u.source is not distinct from p.source
+        where u.size > 0 and u.size <= rest2 and u.draw > last and u.draw is distinct from draw1 and u.draw is distinct from draw2 group by p.source
+    ),
+    filled3 as (
+        select p.*, best[2] as draw3, rest2 - coalesce(best[1], 0) as rest3
+        from filled2 p left join fill3 f on f.source is not distinct from p.source
     )
-    select doc_id, size, f.source_size, f.target,
-        (size * (f.whole + case when d.draw <= f.last or d.draw is not distinct from f.one or d.draw is not distinct from g.best[2] then 1 else 0 end))::bigint as taken
-    from sized d join filled f on f.source is not distinct from d.source left join fill2 g on g.source is not distinct from d.source
+    select doc_id, size, f.source_size, f.target, (size * (f.whole + case
+        when f.whole < 2 and ((d.draw <= f.last and size <= room) or list_contains([draw1, draw2, draw3], d.draw)) then 1 else 0 end
+    ))::bigint as taken
+    from sized d join filled3 f on f.source is not distinct from d.source
     """,
 }
