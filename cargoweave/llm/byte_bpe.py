@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from cargoweave.llm.common import WHITE, Memo, chunks, text_batches
 
-#: Chunks of text an executor's Python worker remembers at a time.
-REMEMBERED = 600_000
+#: Chunks of text each of two generations of a Python worker's memory holds.
+REMEMBERED = 150_000
 #: Tree cells that are merged together at a time.
-CELLS = 4_000_000
+CELLS = 1_000_000
 #: Pieces of more bytes are merged one by one.
 LONG = 1024
 _NONE = np.int64(2**62)
@@ -228,9 +228,9 @@ def _encoded(path: str, pattern: str, texts: list[str]) -> Iterator[bytes]:
     """For each text its ids as 32-bit integers."""
     memory = _memory(path, pattern)
     parts = [chunks(text) for text in texts]
-    memory.learn(set(chain.from_iterable(parts)), byte_pairs(path, pattern).encode_chunks)
+    known = memory.known(set(chain.from_iterable(parts)), byte_pairs(path, pattern).encode_chunks)
     for p in parts:
-        yield b"".join([memory[c] for c in p])
+        yield b"".join([known[c] for c in p])
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -251,6 +251,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(raw), np.int32)))
                 columns = [batch.column(c).slice(start, len(part)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*columns, ids], [*kept, "ids"])
+        _memory(path, pattern).clear()
 
     return docs.select(*kept, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
@@ -277,6 +278,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        _memory(path, pattern).clear()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -29,6 +29,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch: whole texts are large, and a batch is held by Spark and by Python.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """For applications of this subpackage: send whole texts to Python in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,24 +59,39 @@ def chunks(text: str) -> list[str]:
     return [*([first] if first else []), *[" " + x for x in rest]]
 
 
-class Memo(dict):
-    """A bounded memory of what has been computed; it starts anew when full, which costs
-    time and never changes a result."""
+class Memo:
+    """A bounded memory of what has been computed; what was not asked for lately is forgotten,
+    which costs time and never changes a result.
+
+    There are two generations of at most ``limit`` entries: when the young one is full it
+    becomes the old one, and what is asked for again comes back from there.
+    """
 
     def __init__(self, limit: int) -> None:
         self.limit = limit
-
-    def learn(self, wanted: Iterable[str], compute) -> None:
-        missing = [x for x in wanted if x not in self]
-        if missing:
-            if len(self) + len(missing) > self.limit:
-                keep = {x: self[x] for x in wanted if x in self}
-                self.clear()
-                self.update(keep)
-            self.update(zip(missing, compute(missing), strict=True))
-
-
-def text_batches(texts: list[str | None], characters: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
+        self.clear()
+
+    def clear(self) -> None:
+        """Forget everything; tasks do so when they end, as the worker goes on to other work."""
+        self.young, self.old = {}, {}
+
+    def known(self, wanted: Iterable[str], compute) -> dict:
+        """A mapping that has everything ``wanted``."""
+        young, old = self.young, self.old
+        if len(young) >= self.limit:
+            self.old, self.young = old, young = young, {}
+        missing = []
+        for x in wanted:
+            if x not in young:
+                if x in old:
+                    young[x] = old[x]
+                else:
+                    missing.append(x)
+        young.update(zip(missing, compute(missing), strict=True))
+        return young
+
+
+def text_batches(texts: list[str | None], characters: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts, NULL as empty, in runs of bounded length with the first's position."""
     run: list[str] = []
     start = held = 0

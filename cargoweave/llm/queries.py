@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cargoweave.llm import (
     byte_bpe, embedding_dedup, fingerprints, line_dedup, minhash_dedup, mixing, pii, quality, token_codes, toxicity,
 )
-from cargoweave.llm.common import table
+from cargoweave.llm.common import small_batches, table
 from cargoweave.sources.tables import new_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +20,7 @@ END_ID = 2
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
@@ -28,6 +29,7 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return byte_bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
@@ -36,17 +38,20 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs))
 
 
 def op6_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     path = new_path(spark, "token-codes")
     token_codes.write_codes(table(spark, sf_dir, "documents"), path, TOKENIZER, END_ID)
     return token_codes.read_codes(spark, path)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return line_dedup.without_repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
@@ -59,6 +64,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 

@@ -35,7 +35,7 @@ MAGIC = 0x31434144
 BLOCK_IDS = 1_000_000
 #: Bits for each entry of a rank directory.
 STRIDE = 512
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint32)
 
 
@@ -177,9 +177,9 @@ def _encoded(path: str, texts: list[str]) -> Iterator[np.ndarray]:
     """The ids of each text. The library encodes each chunk once and it is remembered."""
     memory = _memory(path)
     parts = [chunks(text) for text in texts]
-    memory.learn(set(chain.from_iterable(parts)), lambda missing: _encode_chunks(path, missing))
+    known = memory.known(set(chain.from_iterable(parts)), lambda missing: _encode_chunks(path, missing))
     for p in parts:
-        yield np.frombuffer(b"".join([memory[c] for c in p]), np.uint32)
+        yield np.frombuffer(b"".join([known[c] for c in p]), np.uint32)
 
 
 def write_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -215,6 +215,7 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None
                         doc_ids, documents, held = [], [], 0
         if documents:
             yield closed()
+        _memory(tokenizer).clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 #: Labelled documents of each kind that the model is fitted on at most, drawn by a hash.
-SAMPLE = 3000
+SAMPLE = 2000
 #: Features are those in at least so many documents of the sample, whose shares of toxic and
 #: of other documents differ by at least so many deviations.
 SUPPORT, DEVIATIONS = 5, 6.0
@@ -150,18 +150,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Ordinal | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [word_features(t) for t in batch.column(2).to_pylist()]
+            sets = [word_features(t.as_py()) for t in batch.column(2)]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = pa.array(np.concatenate([np.empty(0, np.int64), *sets]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, flat)], ["doc", "toxic", "features"])
 
     sample = texts.join(F.broadcast(wanted[0].union(wanted[1])), "_doc").select("_doc", "_toxic", "_text")
-    found = sample.mapInArrow(run, "doc long, toxic int, features array<long>").toArrow().sort_by("doc")
-    features = found.column("features").to_pylist()
-    order = sorted(range(len(features)), key=lambda i: (found["doc"][i].as_py(), found["toxic"][i].as_py(), features[i]))
-    rows = [np.array(features[i], np.int64) for i in order]
-    toxic = found.column("toxic").to_numpy()[order] if order else np.empty(0)
-    return fit(rows, toxic.astype(np.float64)) if rows else None
+    found = sample.mapInArrow(run, "doc long, toxic int, features array<long>").toArrow().sort_by([("doc", "ascending"), ("toxic", "ascending")])
+    if not found.num_rows:
+        return None
+    column = found.column("features").combine_chunks()
+    rows = np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])
+    return fit(rows, found.column("toxic").to_numpy().astype(np.float64))
 
 
 def score(docs: DataFrame, model: Ordinal | None) -> DataFrame:
@@ -177,8 +177,8 @@ def score(docs: DataFrame, model: Ordinal | None) -> DataFrame:
             n = batch.num_rows
             above = np.zeros((n, GRADES))
             if model:
-                for i, text in enumerate(batch.column(1).to_pylist()):
-                    above[i] = model.above(text)
+                for i, text in enumerate(batch.column(1)):
+                    above[i] = model.above(text.as_py())
             chances = np.concatenate([np.ones((n, 1)), above], axis=1) - np.concatenate([above, np.zeros((n, 1))], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(above[:, 0]), pa.array(above.sum(axis=1)),
@@ -198,7 +198,7 @@ def without_toxic(docs: DataFrame, model: Ordinal | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [model.above(text)[0] < model.reject for text in batch.column("text").to_pylist()]
+            keep = [model.above(text.as_py())[0] < model.reject for text in batch.column("text")]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
