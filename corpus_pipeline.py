@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargoweave.llm import byte_bpe, line_dedup, minhash_dedup, mixing, toxicity
-from cargoweave.llm.common import staged, table
+from cargoweave.llm.common import small_batches, staged, table
 from cargoweave.llm.queries import PATTERN, RANKS
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model rejects go. It learns from the given labels, of which
     those of documents no longer here do not count."""
+    small_batches(spark)
     return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier in the corpus go; n_chars follows the text. A document of which
     no line stays goes with them."""
+    small_batches(spark)
     lines = line_dedup.without_repeated_lines(docs)
     stays = ~((F.col("n_removed") > 0) & (F.trim(F.col("text")) == ""))
     return (
@@ -29,6 +31,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays."""
+    small_batches(spark)
     return minhash_dedup.one_of_each_group(docs)
 
 
@@ -39,6 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts become token ids: doc_id, source, n_tokens, ids."""
+    small_batches(spark)
     coded = byte_bpe.encode(docs.select("doc_id", "source", "text"), RANKS, PATTERN)
     return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
