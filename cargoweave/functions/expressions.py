@@ -71,12 +71,17 @@ def _stable_text(name: str, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         # A float's text depends on the Java version; whole millionths do not.
         millionths = F.floor(value.cast("double") * 1e6 + 0.5).cast("string")
-        text = F.when(F.abs(value) < 9e12, millionths).otherwise(text)
-    return F.coalesce(text, F.lit(""))
+        whole = (F.abs(value) < 9e12) & (millionths.cast("double") / 1e6 == value.cast("double"))
+        text = F.when(whole, millionths).otherwise(text)
+    return F.when(value.isNull(), F.lit("n")).otherwise(F.concat(F.char_length(text).cast("string"), F.lit(":"), text))
 
 
 def record_id(columns: Iterable[str], types: Mapping[str, T.DataType]) -> Column:
-    """MD5 over the columns' text, each in its place: equal rows get equal ids on every run."""
+    """MD5 over the columns' text, each in its place: equal rows get equal ids on every run.
+
+    Each text stands behind its length and NULL is told from empty, so rows that differ
+    anywhere have different texts.
+    """
     return F.md5(F.concat_ws("|", *(_stable_text(c, types[c]) for c in columns)))
 
 

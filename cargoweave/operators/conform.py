@@ -18,6 +18,9 @@ from cargoweave.layout import (
 )
 from cargoweave.profiles import Added, Profile
 
+#: Column of the values, by column name, that did not fit their types.
+FAILED_CASTS = "failed_casts"
+
 
 def _by_lower_name(df: DataFrame) -> dict[str, str]:
     return {name.lower(): name for name in df.columns}
@@ -89,10 +92,36 @@ def derive_arrival_date(df: DataFrame, parts: tuple[str, str, str]) -> DataFrame
     return df.withColumn("ARRIVAL_DATE", F.coalesce(F.col("ARRIVAL_DATE"), derived))
 
 
+def type_columns(df: DataFrame, fields: Sequence[Field] = SHIPMENT_FIELDS) -> DataFrame:
+    """Bring text columns of typed layout fields to their types, losing nothing.
+
+    A value that does not fit its type becomes NULL in its column and stays, as it came, in
+    the map ``FAILED_CASTS`` by column name; row validation rejects such a row. The map is
+    only there if a column had to be typed.
+    """
+    present = _by_lower_name(df)
+    text = {
+        present[f.name.lower()]: working_type(f)
+        for f in fields
+        if f.name.lower() in present
+        and isinstance(df.schema[present[f.name.lower()]].dataType, T.StringType)
+        and not isinstance(working_type(f), T.StringType)
+    }
+    if not text:
+        return df
+    names = {present[f.name.lower()]: f.name for f in fields if f.name.lower() in present}
+    failed = F.array_compact(F.array(*(
+        F.when(column(c).isNotNull() & column(c).try_cast(kind).isNull(), F.struct(F.lit(names[c]).alias("key"), column(c).alias("value")))
+        for c, kind in text.items()
+    )))
+    typed = df.withColumn(FAILED_CASTS, F.map_from_entries(failed))
+    return typed.withColumns({c: column(c).try_cast(kind) for c, kind in text.items()})
+
+
 def conform(df: DataFrame, profile: Profile) -> DataFrame:
-    """Raw table to working table: rename, add constants and ids, complete and order the layout."""
+    """Raw table to working table: rename, type, add constants and ids, complete and order the layout."""
     df = rename_columns(df, profile.renames)
-    df = add_columns(df, profile.adds)
+    df = type_columns(add_columns(df, profile.adds))
     if profile.date_parts:
         df = derive_arrival_date(df, profile.date_parts)
     return finalize(df)
@@ -110,18 +139,35 @@ def _p7_columns(df: DataFrame) -> list[Column]:
     ]
 
 
+def _p7_checked(df: DataFrame) -> DataFrame:
+    """The delivered columns with the fields that keep a row back: required ones it lacks, then
+    those whose value was there and does not fit its type, also if ``type_columns`` found so."""
+    present = _by_lower_name(df)
+    delivered = {f.name: f.dataType for f in p7_schema()}
+    lacks = [
+        F.when(column(present[c.lower()]).try_cast(delivered[c]).isNull() if c.lower() in present else F.lit(True), F.lit(c))
+        for c in P7_REQUIRED
+    ]
+    unfit = [
+        F.when(column(present[f.name.lower()]).isNotNull() & column(present[f.name.lower()]).try_cast(f.dataType).isNull(), F.lit(f.name))
+        for f in p7_schema()
+        if f.name.lower() in present and not isinstance(f.dataType, T.StringType)
+    ]
+    fields = F.array_compact(F.array(*lacks, *unfit))
+    if FAILED_CASTS in df.columns:
+        fields = F.concat(fields, F.map_keys(column(FAILED_CASTS)))
+    return df.select(*_p7_columns(df), F.array_distinct(fields).alias("MISSING_FIELDS"))
+
+
 def p7_projection(df: DataFrame) -> DataFrame:
-    """The 46 delivered columns by name, for the rows that carry all required fields."""
-    return df.select(*_p7_columns(df)).dropna(subset=list(P7_REQUIRED))
+    """The 46 delivered columns by name, for the rows that carry all required fields and no
+    value that does not fit its type."""
+    return _p7_checked(df).filter(F.size("MISSING_FIELDS") == 0).drop("MISSING_FIELDS")
 
 
 def p7_rejects(df: DataFrame) -> DataFrame:
-    """The other rows, with the required fields each one lacks."""
-    missing = F.array_compact(
-        F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in P7_REQUIRED))
-    )
-    rows = df.select(*_p7_columns(df)).withColumn("MISSING_FIELDS", missing)
-    return rows.filter(F.size("MISSING_FIELDS") > 0)
+    """The other rows, with the fields that each one lacks or that do not fit."""
+    return _p7_checked(df).filter(F.size("MISSING_FIELDS") > 0)
 
 
 def company_file(df: DataFrame, sources: Mapping[str, str]) -> DataFrame:

@@ -109,12 +109,18 @@ def fill_ports(df: DataFrame, ports: Lookup) -> DataFrame:
     return fill_port(df, "EXPORTER_COUNTRY", "PORT_OF_DEPARTURE", ports)
 
 
-def enrich_hs(df: DataFrame, descriptions: Lookup, hot: Sequence[int] | None = None) -> DataFrame:
-    """Take description and replacement of a tariff code; both by the code as it came."""
+def enrich_hs(
+    df: DataFrame, descriptions: Lookup, hot: Sequence[int] | None = None, only: Column | None = None
+) -> DataFrame:
+    """Take description and replacement of a tariff code; both by the code as it came.
+
+    ``only`` names the rows to look up, where others already have their new code.
+    """
+    code = F.col("HS_CODE") if only is None else F.when(only, F.col("HS_CODE"))
     return left_lookup(
         df,
         descriptions,
-        {"HS_CODE": F.col("HS_CODE")},
+        {"HS_CODE": code},
         {
             "HS_CODE": F.coalesce(found("new_HS_CODE"), F.col("HS_CODE")),
             "HS_CODE_DESCRIPTION": F.coalesce(found("HS_CODE_DESC"), F.col("HS_CODE_DESCRIPTION")),
@@ -131,8 +137,12 @@ def convert_units(
 ) -> DataFrame:
     """Take the new unit and multiply the quantity; without a factor the quantity stays."""
     unit, quantity = column(unit_column), column(quantity_column)
-    if isinstance(df.schema[quantity_column].dataType, T.StringType):
-        quantity = quantity.try_cast("double")
+    kind = df.schema[quantity_column].dataType
+    times = quantity * found("factor")
+    if isinstance(kind, T.StringType):  # text that is no number stays as it is
+        times = F.coalesce((quantity.try_cast("double") * found("factor")).cast("string"), quantity)
+    elif isinstance(kind, T.DecimalType):
+        times = times.cast(kind)
     return left_lookup(
         df,
         units,
@@ -140,7 +150,7 @@ def convert_units(
         {
             unit_column: F.coalesce(found("new_unit"), unit),
             quantity_column: F.when(
-                found("factor").isNotNull(), quantity * found("factor")
+                found("factor").isNotNull(), times
             ).otherwise(quantity),
         },
     )

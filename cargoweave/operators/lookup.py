@@ -3,8 +3,8 @@
 Two plans, chosen by the measured size of the lookup:
 
 * A lookup proven to be small is broadcast; the fact is not shuffled.
-* Any other lookup is joined by a shuffle. Keys that hold a large share of the
-  fact's rows are looked up in a broadcast of just those keys (at most
+* Any other lookup is joined by a shuffle. Keys that hold a large share of a
+  task's rows are looked up in a broadcast of just those keys (at most
   ``HOT_KEYS`` of them), and rows that are hot or have no key at all are spread
   evenly instead of meeting in one task. The lookup's part in each task is known
   to be small, one row per key, so it is hashed and the wide fact is not sorted.
@@ -23,9 +23,9 @@ from cargoweave.functions.expressions import column
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HASH_BYTES = 128 * 1024 * 1024
-HOT_KEYS = 256
-HOT_SHARE = 0.0005
-TRACKED_KEYS = 10_000
+HOT_KEYS = 8192
+TRACKED_KEYS = 100_000
+SKETCH_GROUPS = 64
 
 
 @dataclass(frozen=True)
@@ -164,10 +164,12 @@ def _skew_safe_join(
     at_code = F.xxhash64(*(column(f"_at_{k}") for k in lookup.keys))
 
     # The key's hash is a second join column. Rows that need no shuffle join, hot or
-    # without a key, carry their partition's number there instead: that spreads them,
-    # needs no other column, and is the same when a task is run again.
+    # without a key, carry a hash of the whole row and its partition there instead: that
+    # spreads different rows however few parts they come in, and exact copies by the parts
+    # they are in, and is the same when a task is run again. Maps have no hash.
     searches = code.isNotNull() & ~code.isin(hot) if hot else code.isNotNull()
-    spread = F.lit(-1) - F.spark_partition_id()
+    whole = [column(f.name) for f in keyed.schema if "map<" not in f.dataType.simpleString()]
+    spread = F.xxhash64(F.spark_partition_id(), *whole)
     rows = keyed.withColumn("_code", F.when(searches, code).otherwise(spread))
     coded = table.withColumn("_at_code", at_code)
     partitions = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -189,21 +191,32 @@ def _skew_safe_join(
 
 
 def hot_key_codes(fact: DataFrame, *codes: Column) -> list[list[int]]:
-    """For each column of key hashes, those that hold at least ``HOT_SHARE`` of the rows.
+    """For each column of key hashes, those that hold more than a quarter of an average task.
 
-    Frequent-items sketches merged from all partitions in one pass: one small row
-    per task is shuffled, and at most ``HOT_KEYS`` numbers per column return. What a
-    sketch misses is only less well balanced, never wrong.
+    Frequent-items sketches in one pass over the keys, merged in two steps: first those of
+    the tasks of a group, in as many tasks as there are groups, then SKETCH_GROUPS of them.
+    The share follows the number of shuffle partitions; at most HOT_KEYS numbers per column
+    return. What a sketch misses is only less well balanced, never wrong.
     """
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = 1 / (4 * partitions)
+    tracked = min(TRACKED_KEYS, max(1000, 16 * partitions))
+    most = min(HOT_KEYS, 4 * partitions, tracked)
     names = [f"code{i}" for i in range(len(codes))]
-    row = fact.select(*(c.alias(n) for c, n in zip(codes, names))).agg(
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("sketch_group")
+    sketches = fact.select(group, *(c.alias(n) for c, n in zip(codes, names))).groupBy("sketch_group").agg(
         F.count(F.lit(1)).alias("n"),
-        *(F.expr(f"approx_top_k({n}, {HOT_KEYS}, {TRACKED_KEYS})").alias(n) for n in names),
+        *(F.expr(f"approx_top_k_accumulate({n}, {tracked})").alias(n) for n in names),
+    )
+    # a constant key: without one, tasks that get no group fail on their empty sketch
+    row = sketches.groupBy(F.lit("all").alias("all")).agg(
+        F.sum("n").alias("n"),
+        *(F.expr(f"approx_top_k_estimate(approx_top_k_combine({n}, {tracked}), {most})").alias(n) for n in names),
     ).first()
     return [
         [
-            t["item"] for t in row[n] or []
-            if t["item"] is not None and t["count"] >= row["n"] * HOT_SHARE
+            t["item"] for t in (row[n] if row else None) or []
+            if t["item"] is not None and t["count"] >= row["n"] * share
         ]
         for n in names
     ]

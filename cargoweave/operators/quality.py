@@ -9,15 +9,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cargoweave.functions.expressions import column, is_hs_code, is_ta_code
-from cargoweave.layout import AUDITED_COLUMNS, SHIPMENT_FIELDS, Field, country_codes
+from cargoweave.layout import AUDITED_COLUMNS, SHIPMENT_FIELDS, Field, country_codes, working_type
+from cargoweave.operators.conform import FAILED_CASTS
 from cargoweave.operators.lookup import Lookup
 
 TA_COLUMNS = ("IMPORTER_TA_CODE", "EXPORTER_TA_CODE")
 
 
+_TYPE_RULES = {T.FloatType: "float", T.DateType: "date", T.IntegerType: "integer"}
+
+
 class Measure(NamedTuple):
     check_name: str
     column_name: str
@@ -165,15 +169,26 @@ def with_violations(
     fields: Sequence[Field] = SHIPMENT_FIELDS,
     codes: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add ``violations``: the broken rules of each row as ``COLUMN:rule``, in layout order."""
-    return df.withColumn("violations", F.array_compact(F.array(*(
+    """Add ``violations``: the broken rules of each row as ``COLUMN:rule``, in layout order.
+
+    Values that did not fit their type when the table was typed break the rule of that type.
+    """
+    broken = F.array_compact(F.array(*(
         F.when(m.condition, F.lit(f"{m.column_name}:{m.check_name}"))
         for m in rule_measures(fields, codes)
-    ))))
+    )))
+    if FAILED_CASTS in df.columns:
+        unfit = F.array_compact(F.array(*(
+            F.when(F.map_contains_key(FAILED_CASTS, f.name), F.lit(f"{f.name}:{_TYPE_RULES[type(working_type(f))]}"))
+            for f in fields if type(working_type(f)) in _TYPE_RULES
+        )))
+        broken = F.array_union(broken, unfit)
+    return df.withColumn("violations", broken)
 
 
 def accepted_rows(df: DataFrame, **options) -> DataFrame:
-    return with_violations(df, **options).filter(F.size("violations") == 0).drop("violations")
+    """Rows that break no rule; what did not fit its type is in none of them."""
+    return with_violations(df, **options).filter(F.size("violations") == 0).drop("violations", FAILED_CASTS)
 
 
 def quarantined_rows(df: DataFrame, **options) -> DataFrame:
@@ -182,4 +197,11 @@ def quarantined_rows(df: DataFrame, **options) -> DataFrame:
 
 def rule_summary(df: DataFrame, **options) -> DataFrame:
     """Rows per broken rule and column: ``check_name, column_name, n``, without the zeros."""
-    return count_measures(df, rule_measures(**options)).filter("n > 0")
+    counted = count_measures(df, rule_measures(**options)).filter("n > 0")
+    if FAILED_CASTS not in df.columns:
+        return counted
+    unfit = with_violations(df, **options).select(F.explode(F.array_intersect("violations", F.transform(
+        F.map_keys(FAILED_CASTS), lambda c: F.element_at(F.filter("violations", lambda v: v.startswith(F.concat(c, F.lit(":")))), -1)
+    ))).alias("v")).groupBy("v").agg(F.count("*").alias("n"))
+    parts = F.split("v", ":")
+    return counted.unionByName(unfit.select(parts[1].alias("check_name"), parts[0].alias("column_name"), "n"))

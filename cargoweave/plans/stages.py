@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cargoweave.functions.expressions import data_type_of_name
 from cargoweave.operators import conform as C, enrich as E, quality as Q
 from cargoweave.operators.lookup import BROADCAST_BYTES, Lookup, hot_key_codes, measured
 from cargoweave.profiles import Profile, profile_for
-from cargoweave.sources.ledger import mark_processed, read_ledger
+from cargoweave.sources.ledger import mark_processed, open_ledger, raw_names, unprocessed_tables
 from cargoweave.sources.tables import read_table, write_table
 
 
@@ -87,8 +88,16 @@ def remediate(quarantined: DataFrame, lookups: Lookups) -> DataFrame:
     df = quarantined.drop("violations")
     df = C.blank_to_null(df, df.columns)
     df = E.crossfill_countries(df)
-    df = stage_ta(stage_hs(df, lookups), lookups)
-    return Q.with_violations(df)
+    # a row with a description has its new code: looked up again it would get that one's
+    df = E.enrich_hs(df, lookups.hs, only=F.col("HS_CODE_DESCRIPTION").isNull())
+    return Q.with_violations(stage_ta(df, lookups))
+
+
+def remediate_folder(spark: SparkSession, path: str, schema: T.StructType, lookups: Lookups, out: str) -> None:
+    """Read the quarantined rows that ``write_split`` left at ``path``, repair them, and write
+    both outcomes to ``out``."""
+    held = read_table(spark, f"{path}/outcome=quarantined", schema=schema)
+    write_split(remediate(held, lookups).drop("violations"), out, mode="overwrite")
 
 
 def write_split(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -117,6 +126,7 @@ def run_table(
     Output goes to the table's own paths below ``out``, never to what is read. A run
     that fails leaves the ledger as it was, so the table is taken up again.
     """
+    open_ledger(spark, ledger_path)
     profile = profile_for(country, data_type_of_name(table_name))
     target = f"{out}/{table_name}_islendi"
     processed = process(raw, profile, lookups)
@@ -125,5 +135,25 @@ def run_table(
     report = f"{target}_audit"
     write_table(stage_audit(written, lookups), report, mode="overwrite")
     done = spark.range(1).select(F.lit(table_name).alias("table_name"))
-    mark_processed(read_ledger(spark, ledger_path), done, ledger_path)
+    mark_processed(done, ledger_path)
     return read_table(spark, report)
+
+
+def run_unprocessed(
+    spark: SparkSession,
+    registry: DataFrame,
+    open_table: Callable[[str], DataFrame],
+    lookups: Mapping[str, Lookups],
+    out: str,
+    ledger_path: str,
+) -> list[str]:
+    """Process every raw table of the listing that the ledger does not hold, one after the other.
+
+    ``open_table`` opens a raw table by name; ``lookups`` are those of each country. Returns the
+    names done. What fails stays out of the ledger and is taken up by the next call.
+    """
+    left = unprocessed_tables(registry, open_ledger(spark, ledger_path))
+    todo = [(r["table_name"], r["country_code"]) for r in raw_names(left).orderBy("table_name").collect()]
+    for name, country in todo:
+        run_table(spark, name, open_table(name), country, lookups[country], out, ledger_path)
+    return [name for name, _ in todo]

@@ -21,11 +21,19 @@ def unprocessed_tables(registry: DataFrame, ledger: DataFrame) -> DataFrame:
     return names.join(ledger, "table_name", "left_anti").orderBy("table_name")
 
 
+def open_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger, made empty first if there is none yet."""
+    spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(path)
+    return read_ledger(spark, path)
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    """Each name once, also if two runs have written it."""
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path).distinct()
 
 
-def mark_processed(ledger: DataFrame, names: DataFrame, path: str) -> None:
-    """Append the names the ledger at ``path`` does not hold yet; each once."""
+def mark_processed(names: DataFrame, path: str) -> None:
+    """Append the names the ledger at ``path`` does not hold yet; it is made if there is none."""
+    ledger = open_ledger(names.sparkSession, path)
     new = names.select("table_name").dropna().dropDuplicates()
     new.join(ledger, "table_name", "left_anti").write.mode("append").parquet(path)

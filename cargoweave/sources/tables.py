@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from cargoweave.functions.expressions import column
 
@@ -15,16 +14,10 @@ CORRUPT_RECORD = "_corrupt_record"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it in spark.checkpoint.dir.
 
-    A local session without the setting gets a new temporary folder.
+    Without the setting it is a folder below the warehouse, which is shared as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="cargoweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -41,11 +34,13 @@ def jdbc_options(
     bounds: tuple[object, object] | None = None,
     partitions: int = 64,
     fetch_size: int = 10_000,
+    one_task: bool = False,
 ) -> dict[str, str]:
     """Options for ``read_table``/``write_table`` with ``format="jdbc"``.
 
     With a partition column and its bounds the table is read by parallel range
-    queries; rows outside the bounds are still read, by the first or last one.
+    queries; rows outside the bounds are still read, by the first or last one. A whole
+    table in one task has to be asked for.
     """
     options = {
         "url": url,
@@ -56,6 +51,8 @@ def jdbc_options(
         "fetchsize": str(fetch_size),
         "numPartitions": str(partitions),
     }
+    if partition_column is None and not one_task:
+        raise ValueError("name a partition column with its bounds, or ask for one_task")
     if (partition_column is None) != (bounds is None):
         raise ValueError("a parallel read needs both a partition column and its bounds")
     if partition_column is not None and bounds is not None:
@@ -134,6 +131,8 @@ def read_csv(
 ) -> DataFrame:
     """Typed CSV; a row that does not fit the schema is kept, its text in ``_corrupt_record``.
 
+    Headings must be those of the schema, in its order; a file with others fails the job.
+
     ``multi_line`` allows line breaks inside quoted values, at the price of one
     task per file. Empty values are NULL unless ``null_text`` says otherwise.
     """
@@ -144,14 +143,19 @@ def read_csv(
         columnNameOfCorruptRecord=CORRUPT_RECORD,
         multiLine=str(multi_line).lower(),
         nullValue=null_text,
+        enforceSchema="false",
         **_CSV,
     )
 
 
 def search_documents(df: DataFrame, id_column: str = "RECORD_ID") -> DataFrame:
-    """One JSON document per row for a search index, keyed by ``id_column``."""
+    """One JSON document per row for a search index, keyed by ``id_column``.
+
+    Exact copies of a row share its id; the second and later ones get their number behind it.
+    """
+    number = F.row_number().over(Window.partitionBy(column(id_column)).orderBy(column(id_column)))
     return df.select(
-        column(id_column).alias("id"),
+        F.when(number == 1, column(id_column)).otherwise(F.concat_ws("-", column(id_column), number)).alias("id"),
         F.to_json(F.struct(*map(column, df.columns))).alias("document"),
     )
 

@@ -39,11 +39,9 @@ def missing_fields(*present: str) -> str:
 
 
 def id_of(texts: str, numbers: str, order: str) -> str:
-    parts = {c: f"coalesce(cast({c} as varchar), '')" for c in texts.split()}
-    parts |= {
-        c: f"coalesce(cast(cast(floor({c} * 1e6 + 0.5) as bigint) as varchar), '')"
-        for c in numbers.split()
-    }
+    parts = {c: f"cast({c} as varchar)" for c in texts.split()}
+    parts |= {c: f"cast(cast(floor({c} * 1e6 + 0.5) as bigint) as varchar)" for c in numbers.split()}
+    parts = {c: f"case when {c} is null then 'n' else concat(length({p}), ':', {p}) end" for c, p in parts.items()}
     return "md5(concat_ws('|', " + ", ".join(parts[c] for c in order.split()) + "))"
 
 
@@ -396,6 +394,10 @@ _BODIES = {
     "present_countries": f"""select distinct EXPORTER_COUNTRY as country from ships_coded
       where EXPORTER_COUNTRY in {CODES}""",
     "unit_convert": converted("shipments"),
+    "hs_enrich_shuffled": described("shipments"),
+    "ta_code_both_shuffled": with_ta("ships_coded", "EXPORTER", "IMPORTER"),
+    "text_intake_violations": """select 'float' as check_name, 'QUANTITY' as column_name, count(*) as n
+      from raw where ITEM_NO = 3""",
     "null_counts": null_counts("shipments"),
     "hs_integrity": hs_integrity("shipments"),
     "ta_format": ta_format("shipments"),

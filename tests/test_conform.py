@@ -121,7 +121,9 @@ def test_p7_splits_rows_without_loss(spark):
     assert [(r.RECORD_ID, r.QUANTITY, r.IMPORT_DATA_TYPE) for r in good.collect()] == [("r1", 12.5, "1")]
     (row,) = bad.collect()
     assert (row.RECORD_ID, row.QUANTITY) == ("r2", None)
-    assert row.MISSING_FIELDS == ["ARRIVAL_DATE", "EXPORTER_TA_CODE"]
+    assert row.MISSING_FIELDS == ["ARRIVAL_DATE", "EXPORTER_TA_CODE", "QUANTITY"]
+    unfit = df.filter("RECORD_ID = 'r1'").withColumn("QUANTITY", F.lit("12,5"))
+    assert C.p7_projection(unfit).isEmpty() and C.p7_rejects(unfit).first().MISSING_FIELDS == ["QUANTITY"]
 
 
 def test_company_file_is_distinct_and_in_layout(spark, rows):

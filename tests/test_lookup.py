@@ -150,3 +150,15 @@ def test_unknown_lookup_value_of_hot_key_leaves_the_row(spark, skewed, no_broadc
     result = update(skewed, lookup_table(dim, ["k"], ["v"], broadcast_bytes=0))
     hot = result.filter("`key.1` = 'hot'")
     assert hot.count() == 10_000 and hot.filter("value is not null").isEmpty()
+
+
+def test_rows_are_spread_from_few_input_parts(spark, conf, no_broadcast):
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "32")
+    lookup = lookup_table(big_dim(spark), ["k"], ["v"], broadcast_bytes=0)
+    fact = spark.range(30_000).selectExpr(
+        "id", "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else concat('k', id % 5000) end as `key.1`",
+        "cast(null as string) as value",
+    ).coalesce(2)
+    sizes = update(fact, lookup).withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.count("*").alias("n"), F.max("value").alias("v"))
+    assert sizes.agg(F.max("n"), F.max("v")).first()[0] < 2 * 30_000 / 32

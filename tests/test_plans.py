@@ -79,7 +79,6 @@ def test_remediation_repairs_and_loses_nothing(raw, lookups):
 
 def test_run_table_writes_audits_and_marks(spark, raw, lookups):
     out, ledger = T.new_path(spark, "out"), T.new_path(spark, "ledger")
-    T.write_table(spark.createDataFrame([], L.LEDGER_SCHEMA), ledger)
     name = "yeni_veri_cr_2024_01_imp"
     for _ in range(2):  # a second run replaces the output and marks nothing twice
         report = S.run_table(spark, name, raw, "CR", lookups, out, ledger)

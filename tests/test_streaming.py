@@ -1,3 +1,5 @@
+import pytest
+
 from cargoweave.plans import stages as S
 from cargoweave.profiles import CR_IMPORT
 from cargoweave.sources import tables as T
@@ -26,10 +28,13 @@ def test_each_file_is_processed_once(spark, rows):
     assert run().count() == raw.count() + 10
 
 
-def test_a_repeated_batch_leaves_its_rows_once(spark):
+def test_a_lost_checkpoint_repeats_no_rows(spark):
     landing, out = T.new_path(spark, "landing"), T.new_path(spark, "out")
-    T.write_table(spark.range(10).toDF("n"), landing)
+    T.write_table(spark.range(10).toDF("n").repartition(5), landing)
     schema = spark.read.parquet(landing).schema
-    for _ in range(2):  # a lost checkpoint makes the first batch run again
-        process_new_files(spark, landing, schema, lambda b: b, out, T.new_path(spark, "state"))
+    process_new_files(spark, landing, schema, lambda b: b, out, max_files_per_batch=2)
+    process_new_files(spark, landing, schema, lambda b: b, out, max_files_per_batch=5)
+    assert read_processed(spark, out, schema).count() == 10
+    with pytest.raises(ValueError, match="knows nothing"):
+        process_new_files(spark, landing, schema, lambda b: b, out, T.new_path(spark, "state"), 5)
     assert read_processed(spark, out, schema).count() == 10
