@@ -6,26 +6,33 @@ from pyspark.sql import DataFrame, functions as F
 
 from cargoweave.llm.common import staged
 
+#: Bits of the random part of a node's order; those above hold its number of neighbours.
+RANDOM_BITS = 57
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for the nodes of ``edges`` (a, b long).
 
-    Each round merges every node into the neighbour (or itself) that comes first in a random
-    order, and renames the edges by it. Orders differ by round, so a chain halves about every
-    round, whatever its numbering; a star is done in two or three. Minima are combined before
-    the shuffle, so a hub is no hot group. Loops and NULL ends are ignored.
+    Each round merges every node into the neighbour (or itself) that comes first, and renames
+    the edges by it. Nodes of more neighbours (in powers of two) come first, so a star is done
+    in one round, whatever its hub's number; of equal ones a random order of the round decides,
+    so a chain halves about every round. Counts and minima are combined before the shuffle, so
+    a hub is no hot group. Loops and NULL ends are ignored.
     """
     edges = staged(edges.select("a", "b").where("a <> b"), "edges")
     labels = None
     round_ = 0
     while not edges.isEmpty():
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        order = F.xxhash64(F.lit(round_), "other")
+        both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+            edges.select(F.col("b").alias("node"), F.col("a").alias("other"))
+        )
+        chance = F.xxhash64(F.lit(round_), "node").bitwiseAND(F.lit(2**RANDOM_BITS - 1))
+        order = chance - F.floor(F.log2("degree")).cast("long") * F.lit(2**RANDOM_BITS)
+        ordered = both.groupBy("node").agg(F.count("*").alias("degree")).select(F.col("node").alias("other"), order.alias("order"))
         parents = staged(
-            both.select(F.col("a").alias("node"), F.col("b").alias("other"))
-            .unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("other")))
-            .unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("other")))
-            .groupBy("node").agg(F.min_by("other", order).alias("parent")),
+            both.join(ordered, "other").select("node", "other", "order")
+            .unionByName(ordered.select(F.col("other").alias("node"), "other", "order"))
+            .groupBy("node").agg(F.min_by("other", "order").alias("parent")),
             "parents",
         )
         if labels is None:
