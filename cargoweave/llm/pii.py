@@ -24,7 +24,7 @@ PATTERNS = {
 }
 #: What a text must hold for a pattern to be tried at all.
 _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_BYTE = r"(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)|0++)"
 #: A term is one of a line in which the entity stands. It discloses the entity when it is on
 #: so many different lines with it, and this share of the information of the entity (its
 #: pointwise mutual information over the entity's own) is known from the term.

@@ -311,6 +311,20 @@ def test_personal_data_is_brute_force(spark):
         assert set(joined.split(",")) <= set(got[i]["spans"].split(","))
 
 
+def test_addresses_with_zero_parts(spark):
+    parts = ["0", "00", "000", "01", "001", "10", "100", "255", "0255", "256", "0256", "00000", "1000", "99"]
+    texts = [f"at {a}.{b}.0.{c} and" for a in parts for b in parts for c in parts]
+    texts += ["10.0.0.1", "127.0.0.1", "192.168.0.5", "0.0.0.0", "00.0.0.0", "10.0.0.0.1", "10.0.0", "0" * 3000 + ".0.0.1"]
+    got = {r["doc_id"]: r for r in pii.digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        want = spans_of(text)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert got[i]["n_ip"] == sum(k == "ip" for k, _, _ in want), text[:200]
+        assert got[i]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest(), text[:200]
+        assert set(joined.split(",")) <= set(got[i]["spans"].split(","))
+    assert all(r["n_ip"] == 1 for i, r in got.items() if texts[i] in ("10.0.0.1", "127.0.0.1", "192.168.0.5", "0.0.0.0", "00.0.0.0"))
+
+
 def test_terms_that_reveal_an_entity(spark):
     r = random.Random(9)
     other = lambda: " ".join(r.choice("the of and to alpha beta gamma delta".split()) for _ in range(12))
