@@ -13,9 +13,7 @@ BUDGET = 1.5
 #: Repetitions of a source at most.
 EPOCHS = 2
 SEED = "mix"
-#: Documents a source may add to come nearer to its target.
-FILLS = 3
-#: Sources up to which their plan is sent to all tasks (some 20 MB).
+#: Sources up to which their plan, and fills up to which they, are sent to all tasks (some 20 MB).
 SMALL_PLAN = 100_000
 
 
@@ -66,8 +64,11 @@ def plan(sized: DataFrame) -> DataFrame:
     Every document is taken ``whole`` times. ``left`` is what whole repetitions leave of the
     target; documents of at most this size are taken once more if their draw is not after
     ``last``, or is among ``fills``. ``last`` is where sizes, summed in the order of the draws,
-    still fit; fills are, one after the other, the largest documents that fit the rest. The running sum is made of 4,096 stretches of draws by
-    source, so that a source with a third of all rows is not summed in one task.
+    still fit; fills are, one after the other until none fits the rest, the largest documents
+    that do. Their sizes, all but a few of them whole, follow from how many documents behind
+    ``last`` have each size. The rest is less than one document, so fills have no more words
+    than that. The running sum is made of 4,096 stretches of draws by source, so that a source
+    with a third of all rows is not summed in one task.
     """
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")).alias("key")
     units = staged(
@@ -94,35 +95,94 @@ def plan(sized: DataFrame) -> DataFrame:
         summed.where("upto <= left").groupBy("key").agg(F.max("draw").alias("last"), F.max("upto").alias("used")),
         "fits",
     )
-    state = aims.join(fits, "key", "left").select(
-        *aims.columns, F.coalesce("last", F.lit("")).alias("last"),
-        F.array().cast("array<string>").alias("fills"), (F.col("left") - F.coalesce("used", F.lit(0))).alias("rest"),
+    state = staged(
+        aims.join(fits, "key", "left").select(
+            *aims.columns, F.coalesce("last", F.lit("")).alias("last"),
+            F.floor(F.col("left") - F.coalesce("used", F.lit(0))).cast("long").alias("rest"),
+        ),
+        "state",
     )
-    for _ in range(FILLS):
-        state = staged(state, "state")
-        best = (
-            units.select("key", "draw", "size").join(state.select("key", "last", "fills", "rest"), "key")
-            .where((F.col("size") > 0) & (F.col("size") <= F.col("rest")) & (F.col("draw") > F.col("last")) & ~F.array_contains("fills", F.col("draw")))
-            .groupBy("key").agg(F.max(F.struct("size", "draw")).alias("best"))
-        )
-        state = state.join(best, "key", "left").select(
-            *aims.columns, "last",
-            F.when(F.col("best").isNull(), F.col("fills")).otherwise(F.array_append("fills", F.col("best.draw"))).alias("fills"),
-            (F.col("rest") - F.coalesce(F.col("best.size"), F.lit(0))).alias("rest"),
+    chosen = _fills(units, state).groupBy("key").agg(F.collect_list("draw").alias("fills"))
+    return staged(
+        state.join(chosen, "key", "left").select(
+            "source", "source_size", "target", "whole", "left", "last",
+            F.coalesce("fills", F.array().cast("array<string>")).alias("fills"),
+        ),
+        "plan",
+    )
+
+
+def _fills(units: DataFrame, state: DataFrame) -> DataFrame:
+    """(key, draw) of the units (key, draw, size) behind ``last`` that fill up the ``rest``, by
+    ``state`` (key, last, rest).
+
+    Going down the sizes, each is taken as often as it fits; of equal sizes the latest draws.
+    That is what taking the largest that fits, again and again, comes to. ``runs`` are the
+    sizes taken whole, from top down to above ``size``, and ``n`` of that size itself. After
+    a run less than half of the rest is left, so there are few.
+    """
+    behind = (
+        units.select("key", "draw", "size").join(state.select("key", "last", "rest"), "key")
+        .where((F.col("size") > 0) & (F.col("size") <= F.col("rest")) & (F.col("draw") > F.col("last")))
+    )
+    run = "struct<top:bigint,size:bigint,n:bigint>"
+
+    def step(s: Column, x: Column) -> Column:
+        n = F.least(x["n"], F.floor(s["rest"] / x["size"]))
+        top = F.when(s["top"] > 0, s["top"]).otherwise(x["size"])
+        ends = (n < x["n"]) & ((s["top"] > 0) | (n > 0))
+        ended = F.struct(top.alias("top"), x["size"].alias("size"), n.alias("n"))
+        return F.struct(
+            (s["rest"] - n * x["size"]).alias("rest"), F.when(n < x["n"], F.lit(0).cast("long")).otherwise(top).alias("top"),
+            F.when(ends, F.concat(s["runs"], F.array(ended))).otherwise(s["runs"]).alias("runs"),
         )
-    return staged(state.select("source", "source_size", "target", "whole", "left", "last", "fills"), "plan")
+
+    def finish(s: Column) -> Column:
+        none = F.lit(0).cast("long")
+        ended = F.struct(s["top"].alias("top"), none.alias("size"), none.alias("n"))
+        return F.when(s["top"] > 0, F.concat(s["runs"], F.array(ended))).otherwise(s["runs"])
+
+    start = F.struct(F.col("rest"), F.lit(0).cast("long").alias("top"), F.array().cast(f"array<{run}>").alias("runs"))
+    runs = (
+        behind.groupBy("key", "size", "rest").agg(F.count("*").alias("n"))
+        .groupBy("key", "rest").agg(F.sort_array(F.collect_list(F.struct("size", "n")), False).alias("sizes"))
+        .select("key", F.explode(F.aggregate("sizes", start, step, finish)).alias("run")).select("key", "run.*")
+    )
+    runs = staged(runs, "runs")
+    # of a size that is not taken whole, the draw of the n-th from behind
+    parted = behind.join(runs.where("n > 0").select("key", "size", "n"), ["key", "size"]).withColumn("stretch", F.substring("draw", 1, 3))
+    counts = parted.groupBy("key", "size", "stretch").agg(F.count("*").alias("here"))
+    later = Window.partitionBy("key", "size").orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("key", "size", "stretch", "here", F.coalesce(F.sum("here").over(later), F.lit(0)).alias("later"))
+    place = F.row_number().over(Window.partitionBy("key", "size", "stretch").orderBy(F.desc("draw")))
+    since = (
+        parted.join(counts, ["key", "size", "stretch"]).where("later < n and n <= later + here")
+        .withColumn("place", place).where("later + place = n").select("key", "size", F.col("draw").alias("since"))
+    )
+    runs = staged(
+        runs.join(since, ["key", "size"], "left").groupBy("key").agg(F.collect_list(F.struct("top", "size", "since")).alias("runs")), "runs"
+    )
+    size, drawn = F.col("size"), F.col("draw")
+    taken_in = lambda r: (size <= r["top"]) & ((size > r["size"]) | ((size == r["size"]) & F.coalesce(drawn >= r["since"], F.lit(False))))
+    return behind.join(runs, "key").where(F.exists("runs", taken_in)).select("key", "draw")
 
 
 def with_copies(rows: DataFrame, made: DataFrame, size: Column) -> DataFrame:
     """``rows`` (doc_id, source, ...) of this ``size`` with source_size, target and copies by a plan."""
-    few = made.limit(SMALL_PLAN + 1).count() <= SMALL_PLAN
+    n = made.agg(F.count("*").alias("sources"), F.coalesce(F.sum(F.size("fills")), F.lit(0)).alias("fills")).first()
     made = made.withColumnsRenamed({c: f"_{c}" for c in made.columns})
-    place = draw(F.col("doc_id"))
-    again = ((place <= F.col("_last")) & (size <= F.col("_left"))) | F.array_contains("_fills", place)
-    return rows.join(F.broadcast(made) if few else made, F.col("source").cast("string").eqNullSafe(F.col("_source")), "left").select(
-        *[c for c in rows.columns if c not in ("source_size", "target", "copies")],
-        F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-        (F.col("_whole") + (again & (F.col("_whole") < EPOCHS)).cast("int")).alias("copies"),
+    fills = made.select(F.col("_source").alias("_of"), F.explode("_fills").alias("_fill"))
+    made = made.drop("_fills")
+    place, source = draw(F.col("doc_id")), F.col("source").cast("string")
+    again = ((place <= F.col("_last")) & (size <= F.col("_left"))) | F.col("_fill").isNotNull()
+    return (
+        rows.join(F.broadcast(made) if n["sources"] <= SMALL_PLAN else made, source.eqNullSafe(F.col("_source")), "left")
+        .join(F.broadcast(fills) if n["fills"] <= SMALL_PLAN else fills, source.eqNullSafe(F.col("_of")) & (place == F.col("_fill")), "left")
+        .select(
+            *[c for c in rows.columns if c not in ("source_size", "target", "copies")],
+            F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+            (F.col("_whole") + (again & (F.col("_whole") < EPOCHS)).cast("int")).alias("copies"),
+        )
     )
 
 

@@ -273,6 +273,45 @@ def test_mix_reaches_its_targets(docs, rows_in):
     assert copies == +want
 
 
+def test_mix_fills_up_behind_long_documents(spark):
+    r = random.Random(11)
+    rows = [(i, "w " * 100, "a") for i in range(1000)] + [(5000, "w " * 90_000, "a")]
+    rows += [(10_000 + i, "w " * r.choice([1, 2, 3, 5, 8, 40, 41, 300, 300, 7000, r.randrange(9000)]), r.choice("bcdef")) for i in range(600)]
+    rows += [(20_000 + i, "w " * (50_000 if i % 40 == 0 else 7), None) for i in range(200)] + [(20_001, "w w w", None)]
+    sized = mixing.sizes(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got, by_source = mixing.with_copies(sized, mixing.plan(sized), F.col("size")).collect(), defaultdict(list)
+    assert len(got) == len(rows)
+    for row in got:
+        by_source[row["source"]].append(row)
+    filled = 0
+    for own in by_source.values():
+        units, copies = Counter(), {}
+        for row in own:
+            place = hashlib.md5(f"mix:{row['doc_id']}".encode()).hexdigest()
+            units[place] += row["size"]
+            assert copies.setdefault(place, row["copies"]) == row["copies"]
+        total = sum(units.values())
+        whole = int(own[0]["target"] // total)
+        left = rest = own[0]["target"] - whole * total
+        want = set()
+        for place in sorted(p for p in units if units[p] <= left):
+            if units[place] > rest:
+                break
+            want.add(place)
+            rest -= units[place]
+        before = len(want)
+        last = max(want, default="")
+        for n, place in sorted(((n, p) for p, n in units.items() if p > last), reverse=True):
+            if 0 < n <= rest:
+                want.add(place)
+                rest -= n
+        filled = max(filled, len(want) - before)
+        if whole < mixing.EPOCHS:
+            assert {p for p in copies if copies[p] > whole and units[p]} == {p for p in want if units[p]}
+            assert all(units[p] > rest for p in units if p > last and copies[p] == whole and units[p])
+    assert filled > 3
+
+
 def spans_of(text):
     found = []
     rules = {
