@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, functions as F
 from cargoweave.llm.common import semi, staged, text_batches
 from cargoweave.llm.near import linked_components
 
-#: Lines of fewer characters are never removed: short ones repeat by chance.
-LEAST_CHARS = 10
-#: Lines of fewer characters are compared exactly only.
-LEAST_EDIT_CHARS = 24
+#: Every line that is not empty is compared.
+LEAST_CHARS = 1
 #: Edits (insert, delete, replace a character) up to which two lines are the same.
 EDITS = 2
+#: The shorter line allows one edit for so many characters, at most EDITS: any two lines of
+#: three characters with one in common are within 2 edits.
+CHARS_PER_EDIT = 8
+#: Lines from here on allow all EDITS.
+LEAST_EDIT_CHARS = EDITS * CHARS_PER_EDIT
 #: Bits of the map of shared segments that all tasks get: 2 MB, whatever the input.
 MAP_BITS = 24
 
@@ -49,6 +52,11 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def same(a: str, b: str) -> bool:
+    """Whether two lines are within the edits that the shorter one allows."""
+    return within(a, b, min(EDITS, min(len(a), len(b)) // CHARS_PER_EDIT))
+
+
 def selections(edits: int) -> list[tuple[int, int, int]]:
     """(length difference, segment, shift): where a line has to look for the segments of a
     line that is shorter by the difference, so that no pair within ``edits`` is missed.
@@ -64,11 +72,11 @@ def selections(edits: int) -> list[tuple[int, int, int]]:
 
 
 def segment_keys(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np.ndarray]:
-    """(place of the line, key) for every selection of every line of LEAST_EDIT_CHARS and more.
+    """(place of the line, key) for every selection of every line that allows an edit.
 
-    A line of n characters is cut into edits + 1 segments as even as can be, the longer ones
-    last. A key is made of the length of the shorter line, the segment's number and its
-    characters, so two lines within ``edits`` share one.
+    A line of n characters that allows k edits, at most ``edits``, is cut into k + 1 segments
+    as even as can be, the longer ones last. A key is made of the length of the shorter line,
+    which tells k, the segment's number and its characters, so two lines within k share one.
     """
     if not lines:
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -77,14 +85,15 @@ def segment_keys(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np.n
     begins = np.cumsum(lengths) - lengths
     up, down = _POWERS.upto(len(codes) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)])])
-    count = edits + 1
     at, keys = [], []
-    for difference, segment, shift in selections(edits):
+    for allowed, difference, segment, shift in [(k, *x) for k in range(1, edits + 1) for x in selections(k)]:
+        count = allowed + 1
         shorter = lengths - difference
         small, longer = shorter // count, shorter % count
         size = small + (segment >= count - longer)
         place = segment * small + np.maximum(0, segment - (count - longer)) + shift
-        ok = np.flatnonzero((shorter >= LEAST_EDIT_CHARS) & (place >= 0) & (place + size <= lengths))
+        fits = np.minimum(edits, shorter // CHARS_PER_EDIT) == allowed
+        ok = np.flatnonzero(fits & (place >= 0) & (place + size <= lengths))
         start = begins[ok] + place[ok]
         inner = (sums[start + size[ok]] - sums[start]) * down[start]
         at.append(ok)
@@ -188,7 +197,7 @@ def _buckets(docs: DataFrame, only: np.ndarray | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in text_batches(batch.column(1).to_pylist()):
-                lines = list({x for t in texts for x in t.split("\n") if len(x) >= LEAST_EDIT_CHARS})
+                lines = list({x for t in texts for x in t.split("\n") if len(x) >= CHARS_PER_EDIT})
                 at, keys = segment_keys(lines)
                 ids = np.frombuffer(b"".join(_ids(lines)), ">i8")[1::2].astype(np.int64)
                 if only is not None:
@@ -221,18 +230,18 @@ def _shared_map(docs: DataFrame) -> np.ndarray:
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
-    """(node, component) of the line ids that are within EDITS of another line."""
+    """(node, component) of the line ids that are the same as another line but for edits."""
     buckets = staged(_buckets(docs, _shared_map(docs)).distinct(), "segments")
 
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = staged(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
-        texts = semi(_lines(docs, LEAST_EDIT_CHARS, True), wanted, "id")
+        texts = semi(_lines(docs, CHARS_PER_EDIT, True), wanted, "id")
         texts = staged(texts.groupBy("id").agg(F.min("line").alias("line")), "texts")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-                yield batch.select(["a", "b"]).filter(pa.array([within(s, t, EDITS) for s, t in zip(x, y)], pa.bool_()))
+                yield batch.select(["a", "b"]).filter(pa.array([same(s, t) for s, t in zip(x, y)], pa.bool_()))
 
         return (
             pairs.join(texts.withColumnsRenamed({"id": "a", "line": "x"}), "a")
@@ -246,8 +255,8 @@ def line_classes(docs: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no) of all lines but the first of their class.
 
-    A class holds equal lines and those reachable by steps of at most EDITS edits; its
-    first line is the one of the smallest doc_id, then line number. Lines of documents
+    A class holds equal lines and those reachable by steps of the edits that the shorter line
+    allows, at most EDITS; its first line is the one of the smallest doc_id, then line number. Lines of documents
     without a doc_id are never removed and stand for no others.
     """
     own = docs.where(F.col("doc_id").isNotNull())

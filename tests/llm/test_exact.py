@@ -215,6 +215,33 @@ def test_line_dedup_is_brute_force(docs, rows_in):
     assert out.columns[: len(docs.columns) - 1] == [c for c in docs.columns if c != "n_lines"]
 
 
+def test_short_lines_are_brute_force(spark):
+    r = random.Random(12)
+    lines = ["Home", "Read more", "Sign in", "All rights reserved", "x", "ab", "cat", "cut"]
+    lines += ["".join(r.choice("abcdefgh ") for _ in range(n)) for n in range(1, 40) for _ in range(3)]
+    lines += [mutated(r, x, r.randrange(4)) for x in lines for _ in range(3)]
+    lines = [x for x in lines if x] + ["All rights reserved.", "Read more.", "k" * 23, "k" * 24, "m" * 15, "m" * 16, "n" * 14, "n" * 16]
+    r.shuffle(lines)
+    rows = [(i, "\n".join(["", *lines[i::60], "", r.choice(lines)])) for i in range(60)]
+    places = defaultdict(list)
+    for i, text in rows:
+        for n, line in enumerate(text.split("\n")):
+            if line:
+                places[line].append((i, n))
+    allowed = lambda a, b: min(2, min(len(a), len(b)) // 8)
+    known = sorted(places)
+    links = [(a, b) for k, a in enumerate(known) for b in known[k + 1 :] if abs(len(a) - len(b)) < 3 and edit_distance(a, b) <= allowed(a, b)]
+    of = classes(known, links)
+    first = {}
+    for line in known:
+        first[of[line]] = min([first.get(of[line], (10**9, 0)), *places[line]])
+    gone = {p for line in known for p in places[line] if p != first[of[line]]}
+    want = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in rows}
+    got = {x["doc_id"]: x["text"] for x in line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+    assert of["All rights reserved"] == of["All rights reserved."] and of["k" * 23] == of["k" * 24] and of["cat"] != of["cut"]
+
+
 def test_vectors_are_brute_force(spark):
     r = np.random.default_rng(7)
     rows = []
