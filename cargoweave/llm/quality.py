@@ -23,8 +23,9 @@ LABELLERS = ("repetition", "capitals", "symbols", "function_words", "word_length
 #: Documents that the linear scorer is fitted on at most, drawn by a hash of doc_id.
 SAMPLE = 4000
 BUCKETS = 2**16
-#: Strength of the prior on the label model, and the chance of a bad vote by class that it holds.
-PRIOR, BAD_ON_BAD, BAD_ON_GOOD = 1.0, 0.3, 0.001
+#: Documents that the prior on the label model counts as, whatever the input, and the chance of
+#: a bad vote by class that it holds. It tells which class is which; accuracies come from votes.
+PRIOR, BAD_ON_BAD, BAD_ON_GOOD = 20.0, 0.3, 0.001
 EM_ROUNDS, ROUNDS, RATE, PENALTY = 100, 300, 0.3, 1e-4
 #: Documents are kept from this score on.
 KEEP = 0.5
@@ -96,12 +97,12 @@ def label_model(patterns: np.ndarray, counts: np.ndarray) -> LabelModel:
     """Accuracies of labellers that are independent given the class, from how often each pattern
     of votes occurs, by expectation-maximisation.
 
-    It starts from texts with any bad vote being bad. PRIOR, in shares of all texts, holds
-    the labellers to what they are made for: a bad vote is rare on a good text.
+    It starts from texts with any bad vote being bad. PRIOR, in texts of each class, says what
+    the labellers are made for: a bad vote is rare on a good text.
     """
     posterior = np.where((patterns < 0).any(axis=1), 0.1, np.where((patterns > 0).any(axis=1), 0.95, 0.5))
     total = max(1.0, float(counts.sum()))
-    prior = PRIOR * total * np.array([[BAD_ON_BAD, 1 - BAD_ON_BAD], [BAD_ON_GOOD, 1 - BAD_ON_GOOD]])
+    prior = PRIOR * np.array([[BAD_ON_BAD, 1 - BAD_ON_BAD], [BAD_ON_GOOD, 1 - BAD_ON_GOOD]])
     for _ in range(EM_ROUNDS):
         by_class = np.stack([counts * (1 - posterior), counts * posterior])
         chances = np.stack([(by_class @ (patterns == v)).T for v in (-1, 1)], axis=2) + prior

@@ -81,6 +81,20 @@ def test_label_model_finds_accuracies():
     assert ((model.posterior(votes) > 0.5) == good).mean() > 0.94
 
 
+@pytest.mark.parametrize("texts", [20_000, 80_000])
+def test_label_model_tells_good_labellers_from_poor_on_a_rare_class(texts):
+    r = np.random.default_rng(3)
+    bad = r.random(texts) < 0.05
+    on_bad = np.array([0.9, 0.01, 0.6, 0.3, 0.1, 0.5, 0.7, 0.2])
+    on_good = np.array([0.01, 0.001, 0.02, 0.01, 0.001, 0.005, 0.01, 0.01])
+    says_bad = r.random((texts, 8)) < np.where(bad[:, None], on_bad, on_good)
+    votes = np.where(r.random((texts, 8)) < 0.2, 0, np.where(says_bad, -1, 1))
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = quality.label_model(patterns, counts.astype(float))
+    assert np.abs(model.chances[:, 0, 0] - on_bad).max() < 0.07 and np.abs(model.chances[:, 1, 0] - on_good).max() < 0.01
+    assert abs(model.good - 0.95) < 0.01
+
+
 def test_quality_of_odd_rows(docs, empty, rows_in):
     scored = quality.score(docs, quality.train(docs)).collect()
     assert len(scored) == len(rows_in)
