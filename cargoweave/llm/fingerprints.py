@@ -74,8 +74,8 @@ def likeness(a: str, b: str, least: float = 0.0) -> Column:
 
 
 def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """(doc_id, component_id, kept) of ``docs`` (doc_id, text) whose signature sets have a
-    likeness of ``least`` or more, over any number of steps.
+    """(doc_id, fingerprint, component_id, kept) of ``docs`` (doc_id, text) whose signature
+    sets have a likeness of ``least`` or more, over any number of steps.
 
     Documents are partitioned by the length of their sets, each partition reaching as far as
     a set can differ in length; a pair is met in its own or the next partition, through a
@@ -105,7 +105,7 @@ def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     found = linked_components(buckets, verify).withColumnRenamed("node", "id")
     groups = sets.join(found, "id", "left").select("signatures", F.coalesce("component", "id").alias("component_id"))
     return rows.join(groups, "signatures", "left").select(
-        "doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
+        "doc_id", fingerprint("signatures").alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
@@ -165,3 +165,16 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         likeness("signatures", "edited_signatures").alias("near_edited"),
         likeness("signatures", "next_signatures").alias("near_next"),
     )
+
+
+def document_fingerprints(docs: DataFrame) -> DataFrame:
+    """The columns of ``edited_fingerprints``, and component_id and kept of ``near_documents``.
+
+    Rows that share a doc_id find theirs by their fingerprint.
+    """
+    key = F.sha2("fingerprint", 256).alias("_key")
+    near = near_documents(docs).select(F.col("doc_id").alias("_doc"), key, "component_id").where("_doc is not null").distinct()
+    rows = edited_fingerprints(docs)
+    return rows.select("*", key.alias("_own")).join(near, (F.col("doc_id") == F.col("_doc")) & (F.col("_own") == F.col("_key")), "left").select(
+        *rows.columns, "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    )

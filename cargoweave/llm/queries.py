@@ -25,7 +25,7 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

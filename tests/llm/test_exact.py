@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from cargoweave.llm import byte_bpe, embedding_dedup, fingerprints, graph, line_dedup, minhash_dedup, mixing, pii, token_codes
 from cargoweave.llm.common import chunks
-from cargoweave.llm.queries import END_ID, PATTERN, RANKS, TOKENIZER
+from cargoweave.llm.queries import END_ID, PATTERN, RANKS, TOKENIZER, op2_document_fingerprints
 
 
 def classes(nodes, links):
@@ -456,6 +456,22 @@ def test_near_documents_are_brute_force(docs, rows_in):
     assert got.pop(None) is None and got == want and links
 
 
+def test_registered_fingerprints_have_near_documents(spark, docs, rows_in, empty, plan, tmp_path):
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    out = op2_document_fingerprints(spark, str(tmp_path))
+    got = out.collect()
+    known = {i: py_signatures(t) for i, t, *_ in rows_in if i is not None}
+    ids = sorted(known)
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if known[a] and known[b] and len(known[a] & known[b]) >= 0.75 * len(known[a] | known[b])]
+    want = classes(ids, links)
+    assert len(got) == len(rows_in) and {x["doc_id"]: x["component_id"] for x in got} == {None: None, **want}
+    assert all(x["kept"] == (x["doc_id"] is not None and x["doc_id"] == x["component_id"]) for x in got)
+    first = fingerprints.edited_fingerprints(docs)
+    assert out.columns == [*first.columns, "component_id", "kept"]
+    assert Counter(map(tuple, out.select(*first.columns).collect())) == Counter(map(tuple, first.collect()))
+    assert fingerprints.document_fingerprints(empty).count() == 0 and not re.search("Python|Pandas|Arrow", plan(out))
+
+
 def test_empty_tables(spark, empty, tmp_path):
     assert minhash_dedup.near_duplicates(empty).count() == 0
     assert fingerprints.edited_fingerprints(empty).count() == 0
