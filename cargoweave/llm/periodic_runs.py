@@ -153,12 +153,13 @@ _TILES = T.StructType([
 ])
 
 
-def tiles(docs: DataFrame, change=None) -> DataFrame:
+def tiles(docs: DataFrame, change=None, of_text=None) -> DataFrame:
     """Rows of two kinds, of ``docs`` (row, doc_id, text): one of each document, and one of each
     of its tiles that has a seed.
 
     A document's row has row, doc_id, text and n_words; octave is NULL if it has no tile, else -1.
-    Its text is that of the words after ``change``, joined by one space. A tile's row has row,
+    Its text is that of the words after ``change``, joined by one space; of a document without
+    a tile it is what ``of_text`` makes of that. A tile's row has row,
     octave, tile_start (word number), the boundaries with a seed and the tile's words as
     numbers. A tile has TILE boundaries and reaches one P before the first and five behind the last,
     so tiles overlap by as much as a fragment can reach over.
@@ -179,7 +180,10 @@ def tiles(docs: DataFrame, change=None) -> DataFrame:
         names = list(number)
         for k, (row, doc_id, own) in enumerate(zip(rows, ids, kept)):
             spoken = [names[w] for w in numbers[k]] if changed[k] else own
-            out.append((row, doc_id, b" ".join(spoken).decode("utf-8", "replace"), len(own), -1 if k in seeded else None, None, None, None))
+            text = b" ".join(spoken).decode("utf-8", "replace")
+            if of_text is not None and k not in seeded:
+                text = of_text(text)
+            out.append((row, doc_id, text, len(own), -1 if k in seeded else None, None, None, None))
         held = 0
         for (k, octave, nth), boundaries in grouped.items():
             p = 1 << octave
@@ -265,59 +269,65 @@ def _runs_column() -> Column:
     return F.array_sort(F.collect_list(F.struct("start", "period", "length")))
 
 
-def periodic_runs(docs: DataFrame, change=None) -> DataFrame:
-    """doc_id, text, n_words, runs and collapsed of ``docs`` (doc_id, text), row by row.
+def periodic_runs(docs: DataFrame, change=None, of_text=None) -> DataFrame:
+    """doc_id, n_words, runs and collapsed of ``docs`` (doc_id, text), row by row.
 
     A run is a stretch of words with smallest period q that is LEAST_EXPONENT * q words long or
     more, LEAST_LENGTH at least, and cannot be made longer; runs is an array of (start, period,
-    length) in that order. ``text`` is the words joined by one space and ``collapsed`` the same
-    without the words of each run behind its first period. NULL and empty texts have no words and
-    no runs; repeated rows each have theirs; NULL ids are ids like others; ``change`` (numbers of
-    words, doc_id) may replace words by others of the text beforehand. Other columns are left out.
+    length) in that order. ``collapsed`` is the words joined by one space, without those of each
+    run behind its first period, or what ``of_text`` makes of that text (its hash, for example)
+    where it is made, so that texts that are not wanted are not written. NULL and empty texts
+    have no words and no runs; repeated rows each have theirs; NULL ids are ids like others;
+    ``change`` (numbers of words, doc_id) may replace words by others of the text beforehand.
+    Other columns are left out.
 
     Documents are looked through for seeds, and exploded into the tiles that have one; tiles are
     dealt out and solved alone; fragments are shuffled by document and period and stitched, and
     documents with runs meet them by their row.
     """
-    found = staged(tiles(_numbered(docs), change), "tiles")
+    found = staged(tiles(_numbered(docs), change, of_text), "tiles")
     spread = found.where("octave >= 0").repartition("row", "octave", "tile_start")
     runs = stitched(fragments(spread)).groupBy("row").agg(_runs_column().alias("runs"))
     none = F.array().cast("array<struct<start:bigint,period:bigint,length:bigint>>")
-    plain = found.where("octave is null").select("doc_id", "text", "n_words", none.alias("runs"))
+    plain = found.where("octave is null").select("doc_id", "n_words", none.alias("runs"), F.col("text").alias("collapsed"))
     seeded = found.where("octave = -1").select("row", "doc_id", "text", "n_words").join(runs, "row", "left")
-    seeded = seeded.select("doc_id", "text", "n_words", F.coalesce("runs", none).alias("runs"))
-    return plain.withColumn("collapsed", F.col("text")).unionByName(_collapsed(seeded))
+    return plain.unionByName(_collapsed(seeded.select("doc_id", "n_words", F.coalesce("runs", none).alias("runs"), "text"), of_text))
 
 
-def _collapsed(seeded: DataFrame) -> DataFrame:
-    """The texts without what their runs drop."""
+def _collapsed(seeded: DataFrame, of_text) -> DataFrame:
+    """The texts without what their runs drop, in place of the whole ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, runs in zip(batch.column(1), batch.column(3).to_pylist()):
+            for text, runs in zip(batch.column(3), batch.column(2).to_pylist()):
                 spoken = text.as_py().encode().split()
                 edges = np.zeros(len(spoken) + 1, np.int64)
                 for r in runs:
                     edges[r["start"] + r["period"]] += 1
                     edges[r["start"] + r["length"]] -= 1
                 keeps = np.cumsum(edges[:-1]) == 0
-                out.append(b" ".join([w for w, k in zip(spoken, keeps.tolist()) if k]).decode())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "collapsed"])
+                left = b" ".join([w for w, k in zip(spoken, keeps.tolist()) if k]).decode()
+                out.append(left if of_text is None else of_text(left))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.string())], [*batch.schema.names[:3], "collapsed"])
 
-    schema = T.StructType([*seeded.schema.fields, T.StructField("collapsed", T.StringType())])
+    schema = T.StructType([*seeded.schema.fields[:3], T.StructField("collapsed", T.StringType())])
     return seeded.mapInArrow(run, schema)
 
 
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_runs, the longest run (ties: smallest start, then period) and hashes of all runs
     and of the collapsed text, after ``repeat_end``."""
-    rows = periodic_runs(docs, repeat_end)
+    rows = periodic_runs(docs, repeat_end, _sha256)
     best = F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
     line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
     return rows.withColumn("best", F.get(best, F.lit(0))).select(
         "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.s").alias("start"), (-F.col("best.l")).alias("length"),
         F.col("best.p").alias("period"), F.floor(-F.col("best.l") * 1000 / F.col("best.p")).cast("long").alias("exponent_milli"),
         F.sha2(F.encode(F.array_join(line, ""), "UTF-8"), 256).alias("runs_sha256"),
-        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
     )
