@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cargoweave.llm.common import semi, staged, text_batches
 from cargoweave.llm.near import linked_components
@@ -21,6 +21,9 @@ EDITS = 2
 CHARS_PER_EDIT = 8
 #: Lines from here on allow all EDITS.
 LEAST_EDIT_CHARS = EDITS * CHARS_PER_EDIT
+#: Bits of a line's sketch: the parity of how many pairs of neighbouring characters fall on each.
+#: An edit changes two such pairs into two others at most, four bits.
+SKETCH_BITS, BITS_OF_EDIT = 128, 4
 #: Bits of the map of shared segments that all tasks get: 2 MB, whatever the input.
 MAP_BITS = 24
 
@@ -154,6 +157,19 @@ def within(a: str, b: str, edits: int) -> bool:
     return bottom <= edits
 
 
+def sketches(lines: list[str]) -> np.ndarray:
+    """For each line SKETCH_BITS bits as longs, ends of a line being characters too. Lines within k
+    edits differ in BITS_OF_EDIT * k bits at most."""
+    codes = np.frombuffer("".join(f"\n{x}\n" for x in lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines)) + 2
+    of = np.repeat(np.arange(len(lines)), lengths - 1)
+    first = np.delete(np.arange(len(codes)), np.cumsum(lengths) - 1)
+    at = (_mixed((codes[first] << np.uint64(32)) + codes[first + 1] + np.uint64(1)) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = np.zeros(len(lines) * SKETCH_BITS, np.uint8)
+    np.bitwise_xor.at(odd, of * SKETCH_BITS + at, 1)
+    return np.packbits(odd).view(np.int64).reshape(len(lines), SKETCH_BITS // 64)
+
+
 def _ids(lines: list[str]) -> list[bytes]:
     return [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]
 
@@ -187,6 +203,23 @@ def _lines(docs: DataFrame, least: int, with_text: bool = False) -> DataFrame:
     return _plain(docs).mapInArrow(run, schema)
 
 
+def _sketched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, chars, sketch) of the lines whose id is in the staged table ``wanted``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = batch.column(1).to_pylist()
+            flat = sketches(lines).ravel()
+            offsets = np.arange(len(lines) + 1, dtype=np.int32) * (SKETCH_BITS // 64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) for x in lines], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(flat))],
+                ["id", "chars", "sketch"],
+            )
+
+    lines = semi(_lines(docs, CHARS_PER_EDIT, True), wanted, "id").groupBy("id").agg(F.min("line").alias("line"))
+    return lines.select("id", "line").mapInArrow(run, "id long, chars int, sketch array<long>")
+
+
 def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -249,7 +282,17 @@ def line_classes(docs: DataFrame) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
         )
 
-    return linked_components(buckets, verify)
+    def attach(rest: DataFrame) -> DataFrame:
+        wanted = staged(rest.select("id").distinct(), "wanted")
+        return rest.join(staged(_sketched(docs, wanted), "sketched"), "id")
+
+    def likely() -> Column:
+        """Lengths and sketches of lines that can be within the edits; it misses none."""
+        allowed = F.least(F.lit(EDITS), F.floor(F.least("l_chars", "r_chars") / CHARS_PER_EDIT))
+        words = [F.bit_count(F.col("l_sketch")[i].bitwiseXOR(F.col("r_sketch")[i])) for i in range(SKETCH_BITS // 64)]
+        return (F.abs(F.col("l_chars") - F.col("r_chars")) <= allowed) & (sum(words[1:], words[0]) <= BITS_OF_EDIT * allowed)
+
+    return linked_components(buckets, verify, attach, likely)
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -285,16 +328,22 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
     All else in a text stays as it is, line by line; NULL stays NULL. A text of which every
     line goes is left empty. Where rows share a doc_id and a line number, the class's first
-    line stays in each of them. Columns named n_lines or n_removed are replaced.
+    line stays in each of them. Columns named n_lines or n_removed are replaced; others may have
+    any name.
     """
-    gone = repeated_lines(docs).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed("doc_id", "_doc")
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(F.col("_lines"), lambda line, i: ~F.array_contains("_gone", i))
+    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    plain = [f"c{k}" for k in range(len(own))]
+    rows = docs.select(*(F.col("`" + c.replace("`", "``") + "`") for c in own)).toDF(*plain)
+    key, text = (plain[[c.lower() for c in own].index(name)] for name in ("doc_id", "text"))
+    gone = repeated_lines(rows.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))).groupBy("doc_id").agg(
+        F.collect_set("line_no").alias("gone")
+    )
+    kept = F.filter(F.col("lines"), lambda line, i: ~F.array_contains("gone", i))
     return (
-        docs.join(gone, docs["doc_id"].cast("long") == gone["_doc"], "left")
-        .withColumn("_lines", lines)
-        .withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0)).cast("long"))
-        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-        .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-        .select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+        rows.join(gone, rows[key].cast("long") == gone["doc_id"], "left")
+        .withColumn("lines", F.split(text, "\n", -1))
+        .withColumn("n_lines", F.coalesce(F.size("lines"), F.lit(0)).cast("long"))
+        .withColumn(text, F.when(F.col("gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))
+        .withColumn("n_removed", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
+        .select(*plain, "n_lines", "n_removed").toDF(*own, "n_lines", "n_removed")
     )

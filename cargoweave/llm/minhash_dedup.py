@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cargoweave.llm.common import staged
+from cargoweave.llm.common import semi, staged
 from cargoweave.llm.near import linked_components
 
 SHINGLE = 5
@@ -21,6 +21,9 @@ SKETCH_BITS = 512
 #: Pairs whose sketches differ in more bits are dropped. At similarity 0.75 about 57 bits
 #: differ, with a deviation of 10; 110 is the mean at 0.46.
 MOST_ODD_BITS = 110
+#: Bits of the odd sketch of a whole set. No two sets differ in fewer shingles than these sketches do
+#: in bits, which tells unlike ones apart for certain.
+SET_BITS = 2048
 #: A link: 100 * intersection >= 75 * union.
 PERCENT = 75
 
@@ -67,6 +70,12 @@ def _odd_sketches(minima: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64).reshape(len(minima), SKETCH_BITS // 64)
 
 
+def _set_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Bit p is the parity of the number of shingles that fall on p."""
+    odd = (np.bincount((hashes >> np.uint64(17)).astype(np.int64) % SET_BITS, minlength=SET_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _lists(values: np.ndarray) -> pa.Array:
     offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
     return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
@@ -77,28 +86,30 @@ def _digest(hashes: np.ndarray) -> bytes | None:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, sketch, bands); set_key is a digest of the whole set."""
+    """(doc_id, n_shingles, set_key, sketch, set_sketch, bands); set_key is a digest of the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, minima = [], [], np.empty((batch.num_rows, SAMPLES), np.uint32)
+            whole = np.empty((batch.num_rows, SET_BITS // 64), np.int64)
             for i, text in enumerate(batch.column(1)):
                 hashes = shingle_set(text.as_py())
                 sizes.append(len(hashes))
                 keys.append(_digest(hashes))
                 minima[i] = _minima(hashes)
+                whole[i] = _set_sketch(hashes)
             grouped = np.zeros((batch.num_rows, SAMPLES // BAND), np.uint64)
             for j in range(BAND):
                 grouped = _mixed(grouped + minima[:, j::BAND] + np.uint64(j + 1))
             grouped = _mixed(grouped + np.arange(SAMPLES // BAND, dtype=np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 _lists(_odd_sketches(minima)), _lists(grouped.view(np.int64))],
-                ["doc_id", "n_shingles", "set_key", "sketch", "bands"],
+                 _lists(_odd_sketches(minima)), _lists(whole), _lists(grouped.view(np.int64))],
+                ["doc_id", "n_shingles", "set_key", "sketch", "set_sketch", "bands"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, sketch array<long>, bands array<long>"
+        run, "doc_id long, n_shingles long, set_key binary, sketch array<long>, set_sketch array<long>, bands array<long>"
     )
 
 
@@ -120,9 +131,9 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     )
 
 
-def odd_bits(left: str, right: str) -> Column:
+def odd_bits(left: str, right: str, bits: int = SKETCH_BITS) -> Column:
     """How many bits of two sketches differ."""
-    words = [F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(SKETCH_BITS // 64)]
+    words = [F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(bits // 64)]
     return sum(words[1:], words[0])
 
 
@@ -143,22 +154,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         rows.withColumnRenamed("doc_id", "id").join(named, ["id", "set_key"], "left_semi").dropDuplicates(["id"]), "nodes"
     )
     buckets = nodes.select("id", F.explode("bands").alias("bucket"))
-    measures = nodes.select("id", F.col("n_shingles").alias("n"), "sketch")
+    measures = nodes.select("id", F.col("n_shingles").alias("n"), "sketch", "set_sketch")
 
     def alike(left: str, right: str) -> Column:
+        """Sizes and odd sketches of the samples, then the sets' own, which never misses: of sets that
+        are linked (100 - PERCENT) in (100 + PERCENT) of their shingles differ at most."""
         n, m = F.col(f"{left}n"), F.col(f"{right}n")
-        return (F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT) & (odd_bits(f"{left}sketch", f"{right}sketch") <= MOST_ODD_BITS)
+        return (
+            (F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT)
+            & (odd_bits(f"{left}sketch", f"{right}sketch") <= MOST_ODD_BITS)
+            & (odd_bits(f"{left}set_sketch", f"{right}set_sketch", SET_BITS) * (100 + PERCENT) <= (n + m) * (100 - PERCENT))
+        )
 
     def side(name: str) -> DataFrame:
-        return measures.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+        return measures.toDF(name, f"{name}_n", f"{name}_sketch", f"{name}_set_sketch")
 
     def verify(pairs: DataFrame) -> DataFrame:
         close = staged(
             pairs.join(side("b"), "b").join(side("a"), "a").where(alike("a_", "b_")).select("a", "b"), "close"
         )
-        wanted = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
+        wanted = staged(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct(), "wanted")
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        owned = shingle_sets(texts.join(wanted, texts["doc_id"] == wanted["id"], "left_semi"))
+        owned = shingle_sets(semi(texts, wanted, "doc_id"))
         owned = staged(
             owned.join(named, ["id", "set_key"], "left_semi").drop("set_key").dropDuplicates(["id"]), "shingles"
         )
