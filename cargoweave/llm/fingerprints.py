@@ -24,7 +24,10 @@ FEW = 4
 STRETCH_ROWS, STRETCHES = 1000, 20_000
 #: Likeness from which two documents are near duplicates.
 SIMILAR = 0.75
-_MARK = "\x01"
+#: Cells by which signatures are counted to order them by rarity.
+CELLS = 65_536
+#: Longs of a sketch of a set: the parity of how many signatures fall on each of their bits.
+SKETCH_LONGS = 8
 
 
 def signed(df: DataFrame, text: str = "text", out: str = "signatures") -> DataFrame:
@@ -35,21 +38,21 @@ def signed(df: DataFrame, text: str = "text", out: str = "signatures") -> DataFr
     each word if all are anchors). NULL and empty texts, and white space, have none.
     """
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_GAP, -1), lambda w: w != "")
-    marked = F.array_join(F.transform("_words", lambda w: F.when(w.isin(*ANCHORS), F.lit(_MARK)).otherwise(w)), " ")
-    # what stands before the first anchor follows none: it is the first part, and left out
-    parts = F.split(F.concat(F.lit("- "), marked), f" (?:{_MARK} ?)+", -1)
-    runs = F.filter(F.slice("_parts", 2, F.greatest(F.size("_parts") - 1, F.lit(0))), lambda r: r != "")
-
-    def chain(run: Column, i: Column) -> Column:
-        following = F.concat_ws(" ", run, *[F.get(F.col("_runs"), i + k) for k in range(1, CHAIN)])
-        return F.hash(F.substring_index(following, " ", CHAIN))
-
-    content = F.filter("_words", lambda w: ~w.isin(*ANCHORS))
-    every = F.transform(F.when(F.size(content) > 0, content).otherwise(F.col("_words")), lambda w: F.hash(F.lit("word"), w))
-    all_ = F.when(F.size("_runs") < FEW, F.concat(F.transform("_runs", chain), every)).otherwise(F.transform("_runs", chain))
+    behind = lambda i: F.coalesce(F.get(F.col("_words"), i - 1).isin(*ANCHORS), F.lit(False))
+    content = F.filter(
+        F.transform("_words", lambda w, i: F.struct(w.alias("word"), behind(i).alias("spot"))), lambda c: ~c["word"].isin(*ANCHORS)
+    )
+
+    def chain(c: Column, i: Column) -> Column:
+        following = [F.get(F.col("_content"), i + k)["word"] for k in range(1, CHAIN)]
+        return F.when(c["spot"], F.hash(F.concat_ws(" ", c["word"], *following)))
+
+    spoken = F.when(F.size("_content") > 0, F.transform("_content", lambda c: c["word"])).otherwise(F.col("_words"))
+    every = F.transform(spoken, lambda w: F.hash(F.lit("word"), w))
+    all_ = F.when(F.size("_chains") < FEW, F.concat("_chains", every)).otherwise(F.col("_chains"))
     return (
-        df.withColumn("_words", words).withColumn("_parts", parts).withColumn("_runs", runs)
-        .withColumn(out, F.array_sort(F.array_distinct(all_))).drop("_words", "_parts", "_runs")
+        df.withColumn("_words", words).withColumn("_content", content).withColumn("_chains", F.array_compact(F.transform("_content", chain)))
+        .withColumn(out, F.array_sort(F.array_distinct(all_))).drop("_words", "_content", "_chains")
     )
 
 
@@ -73,14 +76,36 @@ def likeness(a: str, b: str, least: float = 0.0) -> Column:
     )
 
 
+def _rarity(sets: DataFrame) -> Column:
+    """For use on a signature: a letter that comes the later in the alphabet the more sets have
+    signatures of its cell, by powers of two. Any order serves the prefixes; this one keeps what
+    many share out of them. CELLS numbers at most come to the driver."""
+    cell = lambda s: F.pmod(s, F.lit(CELLS))
+    counted = sets.select(F.explode("signatures").alias("s")).groupBy(cell(F.col("s")).alias("cell")).agg(F.count("*").alias("n"))
+    letters = ["a"] * CELLS
+    for r in counted.collect():
+        letters[r["cell"]] = chr(ord("a") + min(25, r["n"].bit_length() // 2))
+    known = F.split(F.lit(",".join(letters)), ",")
+    return lambda s: F.element_at(known, cell(s) + 1)
+
+
+def _sketch(s: str) -> Column:
+    """Bits of a set. Sets never differ in fewer signatures than their sketches do in bits."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 3).bitwiseAND(F.lit(63)))
+    return F.array(*(
+        F.aggregate(F.filter(s, lambda x, w=w: x.bitwiseAND(F.lit(SKETCH_LONGS - 1)) == w), F.lit(0).cast("long"), lambda all_, x: all_.bitwiseXOR(bit(x)))
+        for w in range(SKETCH_LONGS)
+    ))
+
+
 def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """(doc_id, fingerprint, component_id, kept) of ``docs`` (doc_id, text) whose signature
     sets have a likeness of ``least`` or more, over any number of steps.
 
     Documents are partitioned by the length of their sets, each partition reaching as far as
     a set can differ in length; a pair is met in its own or the next partition, through a
-    signature among the first ones of both (of n, all but those that must be shared). Equal
-    sets are one node. Texts without signatures, NULL ids and empty tables link with nothing.
+    signature among the rarest ones of both (of n, all but those that must be shared, and one). Equal
+    sets are one node. Where many meet, sketches of the sets show which can be alike at all. Texts without signatures, NULL ids and empty tables link with nothing.
     """
     rows = staged(signed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "signatures"), "signed")
     sets = staged(
@@ -89,7 +114,9 @@ def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     nodes = sets.groupBy("id").agg(F.min("signatures").alias("s"))
     n = F.size("s")
     length = F.floor(F.log(n) / F.lit(-math.log(least))).cast("int")
-    first = F.explode(F.slice("s", 1, n - F.ceil(n * F.lit(least)).cast("int") + 1))
+    rarity = _rarity(sets)
+    ordered = F.transform(F.array_sort(F.transform("s", lambda x: F.struct(rarity(x).alias("r"), x.alias("x")))), lambda y: y["x"])
+    first = F.explode(F.slice(ordered, 1, n - F.ceil(n * F.lit(least)).cast("int") + 1))
     buckets = (
         nodes.select("id", length.alias("length"), first.alias("signature"))
         .select("id", "signature", F.explode(F.array("length", F.col("length") + 1)).alias("length"))
@@ -102,25 +129,53 @@ def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
         )
         return both.where(likeness("sa", "sb", least) >= least).select("a", "b")
 
-    found = linked_components(buckets, verify).withColumnRenamed("node", "id")
+    def attach(rest: DataFrame) -> DataFrame:
+        return rest.join(nodes.select("id", F.size("s").alias("n"), _sketch("s").alias("sketch")), "id")
+
+    def likely() -> Column:
+        small, large = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
+        words = [F.bit_count(F.col("l_sketch")[i].bitwiseXOR(F.col("r_sketch")[i])) for i in range(SKETCH_LONGS)]
+        return (small >= large * F.lit(least)) & (sum(words[1:], words[0]) * F.lit(1 + least) <= (F.col("l_n") + F.col("r_n")) * F.lit(1 - least))
+
+    found = linked_components(buckets.distinct(), verify, attach, likely).withColumnRenamed("node", "id")
     groups = sets.join(found, "id", "left").select("signatures", F.coalesce("component", "id").alias("component_id"))
     return rows.join(groups, "signatures", "left").select(
         "doc_id", fingerprint("signatures").alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def _borders(ids: DataFrame) -> list[int]:
+    """Smallest ids of up to STRETCHES stretches of about as many rows, without the first: Spark's
+    own range partitioning of the ids alone."""
+    rows = ids.where(F.col("doc_id").isNotNull())
+    stretches = max(1, min(STRETCHES, rows.count() // STRETCH_ROWS))
+    if stretches == 1:
+        return []
+    dealt = rows.repartitionByRange(stretches, "doc_id").select("doc_id", F.spark_partition_id().alias("part"))
+    return sorted(r["first"] for r in dealt.groupBy("part").agg(F.min("doc_id").alias("first")).collect())[1:]
+
+
+def _stretch(borders: list[int]) -> Column:
+    """How many borders are not above doc_id, -1 for NULL: first among every so many of them,
+    then among those between."""
+    if not borders:
+        return F.when(F.col("doc_id").isNull(), -1).otherwise(0).cast("long")
+    width = math.isqrt(len(borders) - 1) + 1
+    all_, some = (F.split(F.lit(",".join(map(str, b))), ",").cast("array<bigint>") for b in (borders, borders[width - 1 :: width]))
+    whole = F.size(F.filter(some, lambda b: b <= F.col("doc_id"))) * width
+    rest = F.size(F.filter(F.slice(all_, whole + 1, F.lit(width - 1)), lambda b: b <= F.col("doc_id"))) if width > 1 else F.lit(0)
+    return F.when(F.col("doc_id").isNull(), -1).otherwise(whole + rest).cast("long")
+
+
 def _with_next(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, signatures) with next_text and next_signatures, of the row that follows.
 
-    Rows are ordered by doc_id (NULL first), then text, within stretches of doc_ids; the
-    first row of a stretch is also a guest at the end of the stretch before. The window
-    over all stretches has one row for each, STRETCHES at most.
+    Rows are ordered by doc_id (NULL first), then text, within stretches of doc_ids that hold about
+    as many rows each, however the ids lie; the first row of a stretch is also a guest at the end of
+    the stretch before. The window over all stretches has one row for each, STRETCHES at most.
     """
     ids = docs.select("doc_id")
-    low, high, count = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    stretches = max(1, min(STRETCHES, count // STRETCH_ROWS))
-    width = max(1, ((high or 0) - (low or 0)) // stretches + 1)
-    stretch = F.coalesce(F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(width)), F.lit(-1)).cast("long")
+    stretch = _stretch(_borders(ids))
     order = Window.orderBy("stretch")
     firsts = (
         ids.groupBy(stretch.alias("stretch")).agg(F.min("doc_id").alias("first"))

@@ -117,11 +117,16 @@ def test_bpe_of_odd_strings():
         assert ids == library.encode_ordinary(text) and pairs.decode(ids) == text.encode()
 
 
+#: Texts that hold the tokenizer's own special token, which the plain library call takes as that token.
+SPECIAL = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b  <|endoftext|>\n\n<|endoftext|> x", "<|endoftext|", "say " * 300 + "<|endoftext|> " * 5]
+
+
 def test_codes_are_the_library(spark, docs, rows_in, tmp_path):
     library = Tokenizer.from_file(TOKENIZER)
-    library.encode_special_tokens = True
     path = str(tmp_path / "codes")
-    token_codes.write_codes(docs, path, TOKENIZER, END_ID)
+    rows_in = rows_in + [(90_000 + i, t, "en", "special", len(t)) for i, t in enumerate(SPECIAL)]
+    extra = spark.createDataFrame(rows_in[-len(SPECIAL) :], "doc_id long, text string, lang string, source string, n_chars long")
+    token_codes.write_codes(docs.unionByName(extra, allowMissingColumns=True), path, TOKENIZER, END_ID)
     got = sorted(map(tuple, token_codes.read_codes(spark, path).collect()), key=lambda r: r[1])
     start = 0
     for (i, text, *_), row in zip(sorted(rows_in, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")), got, strict=True):
@@ -447,6 +452,37 @@ def test_fingerprints(spark, docs, rows_in):
     assert len(out) == len(rows_in)
 
 
+def test_anchors_in_a_row_and_words_like_marks(spark):
+    rows = [(1, "the " * 100_000), (2, "the " * 50_000 + "river bank house " + "of " * 50_000), (3, "\x01 the \x01 river"), (4, "the river")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["signatures"] for r in fingerprints.signed(df).collect()}
+    assert len(got[1]) == 1 and len(got[2]) == 4 and got[3] != got[4]
+
+
+def test_ids_of_any_width(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "STRETCH_ROWS", 10)
+    r = random.Random(8)
+    ids = sorted({r.randrange(-(2**63), 2**63) for _ in range(300)} | {-(2**63), 2**63 - 1} | set(range(200)) | {10**15})
+    rows = [(i, f"text {k} of the corpus of words") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {x["doc_id"]: x["edited_sha256"] for x in fingerprints.edited_fingerprints(df).collect()}
+    for k, (i, text) in enumerate(rows):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + rows[(k + 1) % len(rows)][1][:half]
+        assert got[i] == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_an_outlying_id_crowds_no_stretch(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "STRETCH_ROWS", 100)
+    ids = spark.range(5000).select(F.col("id").alias("doc_id")).union(spark.createDataFrame([(10**15,)], "doc_id long"))
+    borders = fingerprints._borders(ids)
+    sizes = [x["count"] for x in ids.groupBy(fingerprints._stretch(borders).alias("s")).count().collect()]
+    assert len(sizes) == len(borders) + 1 > 20 and max(sizes) <= 2 * 5001 / len(sizes)
+    plain = sorted(x["doc_id"] for x in ids.collect())
+    for x in ids.select("doc_id", fingerprints._stretch(borders).alias("s")).sample(0.1, 3).collect():
+        assert x["s"] == sum(b <= x["doc_id"] for b in borders), plain[:3]
+
+
 def test_near_documents_are_brute_force(docs, rows_in):
     known = {i: py_signatures(t) for i, t, *_ in rows_in if i is not None}
     ids = sorted(known)
