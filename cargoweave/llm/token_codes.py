@@ -132,9 +132,7 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
 
 
 @cache
@@ -215,7 +213,6 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None
                         doc_ids, documents, held = [], [], 0
         if documents:
             yield closed()
-        _memory(tokenizer).clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(
