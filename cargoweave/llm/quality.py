@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain, islice
+from operator import eq
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from cargoweave.llm.common import Memo
+
 #: Frequent function words of English, Spanish, French and German. Fixed values.
 FUNCTION_WORDS = frozenset(
     "the of and to a in is that it for was on with as be are by this at from "
@@ -27,6 +34,8 @@ BUCKETS = 2**16
 #: a bad vote by class that it holds. It tells which class is which; accuracies come from votes.
 PRIOR, BAD_ON_BAD, BAD_ON_GOOD = 20.0, 0.3, 0.001
 EM_ROUNDS, ROUNDS, RATE, PENALTY = 100, 300, 0.3, 1e-4
+#: Words of which a task remembers what they are; only saves time.
+REMEMBERED = 200_000
 #: Documents are kept from this score on.
 KEEP = 0.5
 
@@ -37,29 +46,74 @@ def _vote(value: float, bad_below: float | None = None, bad_above: float | None
     return int(good is not None and good[0] <= value <= good[1])
 
 
-def _measures(text: str) -> tuple[list[str], dict[str, float]]:
+@cache
+def _kinds() -> np.ndarray:
+    """For every code point 1 if it is a letter, and 2 more if it is upper case."""
+    points = map(chr, range(sys.maxunicode + 1))
+    return np.fromiter((c.isalpha() + 2 * c.isupper() for c in points), np.uint8, sys.maxunicode + 1)
+
+
+def _hashed(name: str) -> int:
+    return xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+def _word(w: str) -> int:
+    """1 if a word is a symbol, and 2 more if it is a function word."""
+    symbol = not w.isalnum() and (
+        not any(map(str.isalnum, w)) or not w[-2:].isalnum() and not w[-2:-1].isalnum() and len(w) > 1
+    )
+    return symbol + 2 * (w.lower().strip(".,;:!?%") in FUNCTION_WORDS)
+
+
+def _buckets(w: str) -> tuple[int, int]:
+    """Where a word and its shape are counted."""
+    core = w.strip(".,;:!?%")
+    shape = ("U" if core.isupper() and len(core) > 1 else "a" if core.isalnum() else "x") + w[len(core):][:3]
+    return _hashed("w:" + w.lower()), _hashed("s:" + shape)
+
+
+#: What is known of words that occurred lately.
+_WORDS, _BUCKETS = Memo(REMEMBERED), Memo(REMEMBERED)
+
+
+class _Measured(NamedTuple):
+    """A whole text, measured once for its votes and its features."""
+
+    text: str
+    words: Counter[str]
+    measures: dict[str, float]
+
+
+def _measured(text: str) -> _Measured:
     words = text.split()
     n = max(1, len(words))
-    letters = sum(map(str.isalpha, text)) or 1
     counts = Counter(words)
+    known = _WORDS.known(counts, lambda new: map(_word, new))
+    of = [(known[w], c) for w, c in counts.items() if known[w]]
+    kinds = np.bincount(_kinds()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)], minlength=4)
+    letters = int(kinds[1] + kinds[3]) or 1
     lines = [x for x in text.split("\n") if x.strip()]
-    return words, {
+    return _Measured(text, counts, {
         "n": len(words),
         "distinct": len(counts) / n,
         "top": max(counts.values(), default=0) / n,
-        "capitals": sum(map(str.isupper, text)) / letters,
-        "symbols": sum(1 for w in words if not any(map(str.isalnum, w)) or not w[-2:].isalnum() and not w[-2:-1].isalnum() and len(w) > 1) / n,
-        "function": sum(1 for w in words if w.lower().strip(".,;:!?%") in FUNCTION_WORDS) / n,
+        "capitals": int(kinds[2] + kinds[3]) / letters,
+        "symbols": sum(c for kind, c in of if kind & 1) / n,
+        "function": sum(c for kind, c in of if kind & 2) / n,
         "length": sum(map(len, words)) / n,
         "lines": len(set(lines)) / max(1, len(lines)),
-        "runs": sum(1 for a, b in zip(words, words[1:]) if a == b) / n,
-    }
+        "runs": sum(map(eq, words, islice(words, 1, None))) / n,
+    })
 
 
 def votes(text: str | None) -> list[int]:
     """What each of LABELLERS says of a whole text; nothing but ``length`` on texts without words."""
-    words, m = _measures(text or "")
-    if not words:
+    return _votes(_measured(text or ""))
+
+
+def _votes(of: _Measured) -> list[int]:
+    m = of.measures
+    if not of.words:
         return [0] * (len(LABELLERS) - 1) + [-1]
     long_ = m["n"] >= 20
     return [
@@ -68,7 +122,7 @@ def votes(text: str | None) -> list[int]:
         _vote(m["symbols"], bad_above=0.25, good=(0, 0.05)),
         _vote(m["function"], bad_below=0.02, good=(0.08, 0.7)) if long_ else 0,
         _vote(m["length"], bad_below=2, bad_above=14),
-        _vote(m["lines"], bad_below=0.5) if "\n" in text else 0,
+        _vote(m["lines"], bad_below=0.5) if "\n" in of.text else 0,
         _vote(m["runs"], bad_above=0.2, good=(0, 0.1)) if long_ else 0,
         _vote(m["n"], bad_below=3),
     ]
@@ -115,17 +169,23 @@ def label_model(patterns: np.ndarray, counts: np.ndarray) -> LabelModel:
     return model
 
 
+@cache
+def _steps(name: str, step: int) -> tuple[int, ...]:
+    """The buckets of a measure up to a step, of which it has a few dozen at most."""
+    return tuple(_hashed(f"m:{name}:{i}") for i in range(step + 1))
+
+
 def features(text: str | None) -> np.ndarray:
     """Hashed words, their shapes, and the measures of the whole text in steps."""
-    words, m = _measures(text or "")
-    names = {"w:" + w.lower() for w in words}
-    for w in set(words):
-        core = w.strip(".,;:!?%")
-        names.add("s:" + ("U" if core.isupper() and len(core) > 1 else "a" if core.isalnum() else "x") + w[len(core):][:3])
-    for name, value in m.items():
-        step = int(np.log2(value + 1)) if name in ("n", "length") else int(value * 20)
-        names |= {f"m:{name}:{i}" for i in range(step + 1)}
-    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names), np.int32, len(names)))
+    return _features(_measured(text or ""))
+
+
+def _features(of: _Measured) -> np.ndarray:
+    known = _BUCKETS.known(of.words, lambda new: map(_buckets, new))
+    found = set(chain.from_iterable([known[w] for w in of.words]))
+    for name, value in of.measures.items():
+        found.update(_steps(name, int(np.log2(value + 1)) if name in ("n", "length") else int(value * 20)))
+    return np.unique(np.fromiter(found, np.int32, len(found)))
 
 
 @dataclass
@@ -164,7 +224,7 @@ def train(docs: DataFrame) -> Scorer | None:
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = Counter(tuple(votes(t)) for t in batch.column(0).to_pylist())
+            found = Counter(tuple(votes(t.as_py())) for t in batch.column(0))
             yield pa.RecordBatch.from_pydict({"votes": pa.array([list(k) for k in found], pa.list_(pa.int32())), "n": pa.array(found.values(), pa.int64())})
 
     counted = rows.select("text").mapInArrow(vote, "votes array<int>, n long").groupBy("votes").agg(F.sum("n").alias("n")).collect()
@@ -175,9 +235,9 @@ def train(docs: DataFrame) -> Scorer | None:
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            good = model.posterior(np.array([votes(t) for t in texts], np.int64).reshape(len(texts), len(LABELLERS)))
-            sets = [features(t) for t in texts]
+            texts = [_measured(t or "") for t in batch.column(1).to_pylist()]
+            good = model.posterior(np.array([_votes(t) for t in texts], np.int64).reshape(len(texts), len(LABELLERS)))
+            sets = [_features(t) for t in texts]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "good": pa.array(good), "features": pa.array(sets, pa.list_(pa.int32()))})
 
     sample = rows.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
@@ -199,15 +259,17 @@ def score(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            weak, quality = np.zeros(len(texts)), np.zeros(len(texts))
-            if scorer is not None and texts:
-                weak = scorer.labels.posterior(np.array([votes(t) for t in texts], np.int64))
-                for i, text in enumerate(texts):
-                    if text and not text.isspace():
-                        f = features(text)
+            weak, quality = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+            if scorer is not None and batch.num_rows:
+                said = []
+                for i, text in enumerate(batch.column(1)):
+                    of = _measured(text.as_py() or "")
+                    said.append(_votes(of))
+                    if of.words:
+                        f = _features(of)
                         z = scorer.weights[f].sum() / np.sqrt(len(f)) + scorer.bias
                         quality[i] = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+                weak = scorer.labels.posterior(np.array(said, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(weak), pa.array(quality), pa.array(quality >= KEEP)], ["doc_id", "weak_label", "quality", "kept"]
             )
