@@ -70,10 +70,12 @@ def _stable_text(name: str, data_type: T.DataType) -> Column:
     text = value.cast("string")
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         # A float's text depends on the Java version; whole millionths do not.
-        millionths = F.floor(value.cast("double") * 1e6 + 0.5).cast("string")
-        whole = (F.abs(value) < 9e12) & (millionths.cast("double") / 1e6 == value.cast("double"))
-        text = F.when(whole, millionths).otherwise(text)
-    return F.when(value.isNull(), F.lit("n")).otherwise(F.concat(F.char_length(text).cast("string"), F.lit(":"), text))
+        number = value.cast("double")
+        millionths = F.floor(number * 1e6 + 0.5)
+        whole = (F.abs(number) < 9e12) & (millionths.cast("double") / 1e6 == number)
+        text = F.when(whole, millionths.cast("string")).otherwise(text)
+    # both uses of the text are always computed, so Spark makes it once
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("n"))
 
 
 def record_id(columns: Iterable[str], types: Mapping[str, T.DataType]) -> Column:
