@@ -15,69 +15,64 @@ class Field(NamedTuple):
     rules: tuple[str, ...]
 
 
-def _fields(text: str) -> tuple[Field, ...]:
-    lines = (line.split() for line in text.strip().splitlines())
-    return tuple(Field(name, tuple(rules)) for name, *rules in lines)
-
-
 # The shipment layout in column order, each field with its rules.
-SHIPMENT_FIELDS = _fields("""
-ARRIVAL_DATE exist date
-BILL_OF_LADING_NO text
-DECLARATION_NUMBER text
-HS_CODE exist hs_code
-HS_CODE_DESCRIPTION text
-PRODUCT_DETAILS text
-IMPORTER_TA_CODE exist ta_code
-EXPORTER_TA_CODE exist ta_code
-FOB_VALUE float
-FOB_CURRENCY text
-FREIGHT_AMOUNT float
-INSURANCE_AMOUNT float
-F_I_CURRENCY text
-CIF_VALUE float
-CIF_CURRENCY text
-STATISTICAL_VALUE_USD float
-UNIT_PRICE float
-NET_WEIGHT float
-NET_WEIGHT_UNIT text
-GROSS_WEIGHT float
-GROSS_WEIGHT_UNIT text
-QUANTITY float
-QUANTITY_UNIT text
-PACKAGE_AMOUNT float
-PACKAGES_UNIT text
-INCOTERMS text
-PAYMENT_TYPE text
-TRANSPORT_TYPE text
-REGIME text
-BRAND_NAME text
-MANUFACTURING_COMPANY text
-COUNTRY_OF_ORIGIN exist country
-PORT_OF_ARRIVAL text
-PORT_OF_DEPARTURE text
-CONDITION_New_Used text
-NOTIFY_PARTY text
-NOTIFY_ADDRESS text
-TRANSPORT_COMPANY text
-CONTAINER_COUNT float
-TOTAL_TEUS float
-EXPORT_DATA_TYPE short
-IMPORT_DATA_TYPE short
-ITEM_NO float
-DATA_TYPE text
-VESSEL_NAME text
-RECORD_ID exist
-""")
+SHIPMENT_FIELDS = (
+    Field("ARRIVAL_DATE", ("exist", "date")),
+    Field("BILL_OF_LADING_NO", ("text",)),
+    Field("DECLARATION_NUMBER", ("text",)),
+    Field("HS_CODE", ("exist", "hs_code")),
+    Field("HS_CODE_DESCRIPTION", ("text",)),
+    Field("PRODUCT_DETAILS", ("text",)),
+    Field("IMPORTER_TA_CODE", ("exist", "ta_code")),
+    Field("EXPORTER_TA_CODE", ("exist", "ta_code")),
+    Field("FOB_VALUE", ("float",)),
+    Field("FOB_CURRENCY", ("text",)),
+    Field("FREIGHT_AMOUNT", ("float",)),
+    Field("INSURANCE_AMOUNT", ("float",)),
+    Field("F_I_CURRENCY", ("text",)),
+    Field("CIF_VALUE", ("float",)),
+    Field("CIF_CURRENCY", ("text",)),
+    Field("STATISTICAL_VALUE_USD", ("float",)),
+    Field("UNIT_PRICE", ("float",)),
+    Field("NET_WEIGHT", ("float",)),
+    Field("NET_WEIGHT_UNIT", ("text",)),
+    Field("GROSS_WEIGHT", ("float",)),
+    Field("GROSS_WEIGHT_UNIT", ("text",)),
+    Field("QUANTITY", ("float",)),
+    Field("QUANTITY_UNIT", ("text",)),
+    Field("PACKAGE_AMOUNT", ("float",)),
+    Field("PACKAGES_UNIT", ("text",)),
+    Field("INCOTERMS", ("text",)),
+    Field("PAYMENT_TYPE", ("text",)),
+    Field("TRANSPORT_TYPE", ("text",)),
+    Field("REGIME", ("text",)),
+    Field("BRAND_NAME", ("text",)),
+    Field("MANUFACTURING_COMPANY", ("text",)),
+    Field("COUNTRY_OF_ORIGIN", ("exist", "country")),
+    Field("PORT_OF_ARRIVAL", ("text",)),
+    Field("PORT_OF_DEPARTURE", ("text",)),
+    Field("CONDITION_New_Used", ("text",)),
+    Field("NOTIFY_PARTY", ("text",)),
+    Field("NOTIFY_ADDRESS", ("text",)),
+    Field("TRANSPORT_COMPANY", ("text",)),
+    Field("CONTAINER_COUNT", ("float",)),
+    Field("TOTAL_TEUS", ("float",)),
+    Field("EXPORT_DATA_TYPE", ("short",)),
+    Field("IMPORT_DATA_TYPE", ("short",)),
+    Field("ITEM_NO", ("float",)),
+    Field("DATA_TYPE", ("text",)),
+    Field("VESSEL_NAME", ("text",)),
+    Field("RECORD_ID", ("exist",)),
+)
 
 # The company layout in column order.
-COMPANY_FIELDS = _fields("""
-TA_CODE exist ta_code
-COMPANY_TAX_ID text
-COMPANY_NAME exist text
-COMPANY_ADDRESS text
-CITY_STATE text
-""")
+COMPANY_FIELDS = (
+    Field("TA_CODE", ("exist", "ta_code")),
+    Field("COMPANY_TAX_ID", ("text",)),
+    Field("COMPANY_NAME", ("exist", "text")),
+    Field("COMPANY_ADDRESS", ("text",)),
+    Field("CITY_STATE", ("text",)),
+)
 
 # The fields that a delivered (p7) row must carry.
 P7_REQUIRED = (
@@ -120,7 +115,7 @@ UNKNOWN_COUNTRY = "ZZ"
 def working_type(field: Field) -> T.DataType:
     """Type of a field in the working table."""
     if "float" in field.rules:
-        return T.FloatType()
+        return T.DoubleType()
     if "date" in field.rules:
         return T.DateType()
     if "short" in field.rules or "integer" in field.rules:
@@ -129,16 +124,14 @@ def working_type(field: Field) -> T.DataType:
 
 
 def p7_schema() -> T.StructType:
-    """The delivered layout: floats and the date keep their type, the rest is text."""
-    typed = (T.FloatType, T.DateType)
-    return T.StructType([
-        T.StructField(
-            field.name,
-            working_type(field) if isinstance(working_type(field), typed) else T.StringType(),
-            field.name not in P7_REQUIRED,
-        )
-        for field in SHIPMENT_FIELDS
-    ])
+    """The delivered layout: the date keeps its type, numbers are narrowed to floats, the rest is text."""
+
+    def delivered(field: Field) -> T.DataType:
+        if "float" in field.rules:
+            return T.FloatType()
+        return T.DateType() if "date" in field.rules else T.StringType()
+
+    return T.StructType([T.StructField(f.name, delivered(f), f.name not in P7_REQUIRED) for f in SHIPMENT_FIELDS])
 
 
 def company_schema() -> T.StructType:

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cargoweave.functions.expressions import column, date_from_parts, record_id
+from cargoweave.functions.parsing import DEFAULT_PARSERS, Parser, is_blank, parsed
 from cargoweave.layout import (
     COMPANY_FIELDS,
     P7_REQUIRED,
@@ -20,6 +21,12 @@ from cargoweave.profiles import Added, Profile
 
 #: Column of the values, by column name, that did not fit their types.
 FAILED_CASTS = "failed_casts"
+#: Column of the parsers, by column name, that read a value which the first of its chain did not.
+PARSED_BY = "parsed_by"
+#: Rules that give a field a type, in the order in which they do.
+TYPE_RULES = ("float", "date", "short", "integer")
+
+Parsers = Mapping[str, tuple[Parser, ...]]
 
 
 def _by_lower_name(df: DataFrame) -> dict[str, str]:
@@ -92,36 +99,78 @@ def derive_arrival_date(df: DataFrame, parts: tuple[str, str, str]) -> DataFrame
     return df.withColumn("ARRIVAL_DATE", F.coalesce(F.col("ARRIVAL_DATE"), derived))
 
 
-def type_columns(df: DataFrame, fields: Sequence[Field] = SHIPMENT_FIELDS) -> DataFrame:
+def parsers_of(field: Field, parsers: Parsers) -> tuple[Parser, ...]:
+    """The chain that reads a field: its own, else that of its kind. None for text."""
+    kind = next((r for r in TYPE_RULES if r in field.rules), None)
+    if kind is None:
+        return ()
+    return parsers.get(field.name) or parsers.get(kind) or DEFAULT_PARSERS[kind]
+
+
+def type_columns(
+    df: DataFrame, fields: Sequence[Field] = SHIPMENT_FIELDS, parsers: Parsers = {}
+) -> DataFrame:
     """Bring text columns of typed layout fields to their types, losing nothing.
 
-    A value that does not fit its type becomes NULL in its column and stays, as it came, in
-    the map ``FAILED_CASTS`` by column name; row validation rejects such a row. The map is
-    only there if a column had to be typed.
+    Each text is read by the chain of its field (``parsers`` by field or kind, else the default).
+    A blank one is NULL. One that no parser takes becomes NULL and stays, as it came, in the map
+    ``FAILED_CASTS`` by field name; row validation rejects such a row. The map is only there if a
+    column had to be typed. Where chains have several parsers, the map ``PARSED_BY`` names, by
+    field, the parser of each value that the first one did not take.
     """
     present = _by_lower_name(df)
-    text = {
-        present[f.name.lower()]: working_type(f)
+    chains = {
+        f.name: parsers_of(f, parsers)
         for f in fields
         if f.name.lower() in present
         and isinstance(df.schema[present[f.name.lower()]].dataType, T.StringType)
-        and not isinstance(working_type(f), T.StringType)
+        and parsers_of(f, parsers)
     }
-    if not text:
+    if not chains:
         return df
-    names = {present[f.name.lower()]: f.name for f in fields if f.name.lower() in present}
-    failed = F.array_compact(F.array(*(
-        F.when(column(c).isNotNull() & column(c).try_cast(kind).isNull(), F.struct(F.lit(names[c]).alias("key"), column(c).alias("value")))
-        for c, kind in text.items()
+    text = {name: column(present[name.lower()]) for name in chains}
+    read = {name: parsed(text[name], chain) for name, chain in chains.items()}
+
+    def entries(of: Mapping[str, Column]) -> Column:
+        """A map of the values that are not NULL."""
+        return F.map_from_entries(F.array_compact(F.array(*(
+            F.when(v.isNotNull(), F.struct(F.lit(name).alias("key"), v.alias("value"))) for name, v in of.items()
+        ))))
+
+    failed = {n: F.when(value.isNull() & ~is_blank(text[n]), text[n]) for n, (value, _) in read.items()}
+    several = {n: by for n, (_, by) in read.items() if len(chains[n]) > 1}
+    won = {n: F.nullif(by, F.lit(chains[n][0].name)) for n, by in several.items()}
+    added = {FAILED_CASTS: entries(failed)} | ({PARSED_BY: entries(won)} if won else {})
+    return df.withColumns({present[n.lower()]: value for n, (value, _) in read.items()} | added)
+
+
+def retype_columns(
+    df: DataFrame, fields: Sequence[Field] = SHIPMENT_FIELDS, parsers: Parsers = {}
+) -> DataFrame:
+    """Read the values in ``FAILED_CASTS`` again, by other chains: those that are taken, or are
+    blank, leave the map, and a value goes to its column where that is NULL."""
+    if FAILED_CASTS not in df.columns:
+        return df
+    present = _by_lower_name(df)
+    chains = {f.name: parsers_of(f, parsers) for f in fields if f.name.lower() in present and parsers_of(f, parsers)}
+    left = column(FAILED_CASTS)
+    read = {n: parsed(F.element_at(left, F.lit(n)), chain)[0] for n, chain in chains.items()}
+    types = {f.name: f.dataType for f in df.schema}
+    settled = F.array_compact(F.array(*(
+        F.when(value.isNotNull() | is_blank(F.element_at(left, F.lit(n))), F.lit(n)) for n, value in read.items()
     )))
-    typed = df.withColumn(FAILED_CASTS, F.map_from_entries(failed))
-    return typed.withColumns({c: column(c).try_cast(kind) for c, kind in text.items()})
+    values = {
+        present[n.lower()]: F.coalesce(column(present[n.lower()]), value.try_cast(types[present[n.lower()]]))
+        for n, value in read.items()
+    }
+    # both are made from the map as it is, then it is replaced
+    return df.withColumns({**values, FAILED_CASTS: F.map_filter(left, lambda name, _: ~F.array_contains(settled, name))})
 
 
 def conform(df: DataFrame, profile: Profile) -> DataFrame:
     """Raw table to working table: rename, type, add constants and ids, complete and order the layout."""
     df = rename_columns(df, profile.renames)
-    df = type_columns(add_columns(df, profile.adds))
+    df = type_columns(add_columns(df, profile.adds), parsers=profile.parsers)
     if profile.date_parts:
         df = derive_arrival_date(df, profile.date_parts)
     return finalize(df)

@@ -18,7 +18,9 @@ from cargoweave.operators.lookup import (
     left_lookup,
     lookup_table,
     measured,
+    reduced_to,
 )
+from cargoweave.sources.tables import stage
 from cargoweave.profiles import LOOKUP_HEADINGS, country_table_name
 
 COUNTRY_COLUMNS = ("COUNTRY_OF_ORIGIN", "EXPORTER_COUNTRY", "IMPORTER_COUNTRY")
@@ -206,6 +208,7 @@ class Side(NamedTuple):
     country: str
     name: str
     ta_code: str
+    tax_id: str
 
     def match(self, companies: Lookup) -> dict[str, Column]:
         """Rows that have a TA code search for none."""
@@ -214,8 +217,8 @@ class Side(NamedTuple):
         return {"company_key": wanted, **within}
 
 
-EXPORTER = Side("EXPORTER_COUNTRY", "EXPORTER_NAME", "EXPORTER_TA_CODE")
-IMPORTER = Side("IMPORTER_COUNTRY", "IMPORTER_NAME", "IMPORTER_TA_CODE")
+EXPORTER = Side("EXPORTER_COUNTRY", "EXPORTER_NAME", "EXPORTER_TA_CODE", "EXPORTER_TAX_ID")
+IMPORTER = Side("IMPORTER_COUNTRY", "IMPORTER_NAME", "IMPORTER_TA_CODE", "IMPORTER_TAX_ID")
 
 
 def assign_ta_code(
@@ -234,16 +237,97 @@ def assign_ta_codes(
 ) -> DataFrame:
     """Both sides; scope ``any`` needs one lookup per side, as the present countries differ.
 
-    For lookups too large to broadcast, the frequent companies of both sides are
-    found in one pass over ``probe``: a table with the same parties as ``df`` that
-    is cheaper to compute, or ``df`` itself.
+    Lookups too large to broadcast are reduced to the companies of both sides in one pass over
+    ``probe``: a table with the same parties as ``df`` that is cheaper to compute, or ``df``
+    itself. For what is still large the frequent companies are found in another pass.
     """
-    lookups = measured(companies, importer_companies or companies)
-    sides = (EXPORTER, IMPORTER)
+    sides, source = (EXPORTER, IMPORTER), df if probe is None else probe
+    given = (companies, importer_companies or companies)
+    lookups = reduced_to(source, [(k, side.match(k)) for side, k in zip(sides, given)])
     hot: list[list[int]] = [[], []]
     if not all(lookup.small for lookup in lookups):
         codes = [k.key_code(side.match(k)) for side, k in zip(sides, lookups)]
-        hot = hot_key_codes(df if probe is None else probe, *codes)
+        hot = hot_key_codes(source, *codes)
     for side, lookup, frequent in zip(sides, lookups, hot):
         df = assign_ta_code(df, side, lookup, frequent)
     return df
+
+
+#: What a company is known by, in the order in which it counts.
+TAX_ID, NAME = "tax id", "name"
+PARTY_KEYS = ("country", "tax_key", "name_key")
+
+
+def _party(df: DataFrame, side: Side) -> dict[str, Column]:
+    """The keys of a party, '' for a missing one. Absent columns are missing values."""
+    def value(name: str) -> Column:
+        return column(name) if name in df.columns else F.lit(None).cast("string")
+    keys = (value(side.country), company_key(value(side.tax_id)), company_key(value(side.name)))
+    return {k: F.coalesce(v.cast("string"), F.lit("")) for k, v in zip(PARTY_KEYS, keys)}
+
+
+def resolved_parties(
+    df: DataFrame, companies: DataFrame, sides: Sequence[Side] = (EXPORTER, IMPORTER),
+    order: Sequence[str] = (TAX_ID, NAME), **options,
+) -> Lookup:
+    """Lookup of TA codes by party (country, tax id, name), for the parties without a code in ``df``.
+
+    ``companies`` has country, COMPANY_TAX_ID, COMPANY_ham and TA_CODE. A party takes the code of
+    its country's company with the same tax id, else that of the same name, or as ``order`` says;
+    of several companies the smallest code. Tax ids are compared like names, without
+    punctuation. ``matched_by`` says what decided.
+
+    The distinct parties of all sides are exploded into their keys, and meet the companies'
+    keys in one join, however many keys and sides there are; the best rank of each party stays.
+    The result holds only parties that occur and are known.
+    """
+    wanted = [
+        F.when(column(side.ta_code).isNull() & column(side.country).isNotNull(), F.struct(*(e.alias(k) for k, e in _party(df, side).items())))
+        for side in sides
+    ]
+    parties = df.select(F.explode(F.array_compact(F.array(*wanted))).alias("p")).select("p.*").distinct()
+    keys = {TAX_ID: "tax_key", NAME: "name_key"}
+    ranked = stage(parties, "parties").select("*", F.explode(F.array(*(
+        F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), F.col(keys[kind]).alias("key")) for rank, kind in enumerate(order)
+    ))).alias("k")).select(*PARTY_KEYS, "k.*").where("key <> ''").withColumn("code", F.lit(None).cast("string"))
+    company = {TAX_ID: company_key(F.col("COMPANY_TAX_ID")), NAME: company_key(F.col("COMPANY_ham"))}
+    known = companies.select("country", "TA_CODE", F.explode(F.array(*(
+        F.struct(F.lit(kind).alias("kind"), company[kind].alias("key")) for kind in order
+    ))).alias("k")).select("country", "k.kind", "k.key", "TA_CODE").dropna()
+    by_key = lookup_table(known, ["country", "kind", "key"], ["TA_CODE"], **options)
+    match = {k: F.col(k) for k in ("country", "kind", "key")}
+    best = left_lookup(ranked, by_key, match, {"code": found("TA_CODE")}).where(F.col("code").isNotNull()).groupBy(*PARTY_KEYS).agg(
+        F.min(F.struct("rank", "kind", "code")).alias("best")
+    )
+    rows = best.select(*PARTY_KEYS, F.col("best.code").alias("TA_CODE"), F.col("best.kind").alias("matched_by"))
+    (lookup,) = measured(lookup_table(stage(rows, "known-parties"), PARTY_KEYS, ["TA_CODE", "matched_by"], **options))
+    return lookup
+
+
+def assign_ta_codes_by_rank(
+    df: DataFrame, companies: DataFrame, sides: Sequence[Side] = (EXPORTER, IMPORTER),
+    probe: DataFrame | None = None, matched_by: bool = False, **options,
+) -> DataFrame:
+    """Fill missing TA codes of all sides by tax id, then by name, within the party's country.
+
+    ``probe`` is a table with the same parties that is cheaper to compute. With ``matched_by`` a
+    column such as IMPORTER_TA_CODE_BY says what a code was found by, NULL where it was there
+    or is still missing. ``options`` are those of ``resolved_parties``.
+    """
+    source = df if probe is None else probe
+    parties = resolved_parties(source, companies, sides, **options)
+    hot: list[list[int]] = [[] for _ in sides]
+
+    def match(side: Side) -> dict[str, Column]:
+        return {k: F.when(column(side.ta_code).isNull(), v) for k, v in _party(df, side).items()}
+
+    if not parties.small:
+        hot = hot_key_codes(source, *(parties.key_code(match(side)) for side in sides))
+    for side, frequent in zip(sides, hot):
+        updates = {side.ta_code: F.coalesce(column(side.ta_code), found("TA_CODE"))}
+        by = f"{side.ta_code}_BY"
+        if matched_by:
+            df = df.withColumn(by, F.lit(None).cast("string"))
+            updates[by] = found("matched_by")
+        df = left_lookup(df, parties, match(side), updates, frequent)
+    return df

@@ -1,11 +1,12 @@
 """Left joins on lookup tables that keep every fact row exactly once.
 
-Two plans, chosen by the measured size of the lookup:
+Plans are chosen by the measured size of the lookup:
 
 * A lookup proven to be small is broadcast; the fact is not shuffled.
-* Any other lookup is joined by a shuffle. Keys that hold a large share of a
-  task's rows are looked up in a broadcast of just those keys (at most
-  ``HOT_KEYS`` of them), and rows that are hot or have no key at all are spread
+* Any other lookup is first reduced to the keys that the fact holds, and measured
+  again; then it may be small. What is still large is joined by a shuffle. Keys that
+  hold a large share of a task's rows are looked up in a broadcast of just those keys
+  (at most ``HOT_KEYS`` of them), and rows that are hot or have no key at all are spread
   evenly instead of meeting in one task. The lookup's part in each task is known
   to be small, one row per key, so it is hashed and the wide fact is not sorted.
 """
@@ -20,12 +21,15 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cargoweave.functions.expressions import column
+from cargoweave.sources.tables import stage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HASH_BYTES = 128 * 1024 * 1024
 HOT_KEYS = 8192
 TRACKED_KEYS = 100_000
 SKETCH_GROUPS = 64
+#: Key hashes that are sent to all tasks (some 64 MB in their memory); more are shuffled.
+HELD_KEYS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -75,6 +79,10 @@ class Lookup:
         """One hash for all key columns; NULL when a key is missing."""
         return _key_code(list(self.typed(match).values()))
 
+    def row_code(self) -> Column:
+        """The same hash, of the lookup's own rows."""
+        return F.xxhash64(*map(column, self.keys))
+
     def key_table(self) -> DataFrame:
         """The distinct keys, hinted for broadcast when the lookup is small."""
         (known,) = measured(self)
@@ -116,6 +124,43 @@ def measured(*lookups: Lookup) -> tuple[Lookup, ...]:
     )
 
 
+def held_keys(fact: DataFrame, codes: Sequence[Column]) -> DataFrame:
+    """(held_code): the distinct key hashes that a fact holds, staged.
+
+    One narrow aggregate over the key columns, combined before its shuffle, so that a frequent
+    key is one row of each task. All ``codes`` count, those of both parties for example.
+    """
+    each = fact.select(F.explode(F.array(*codes)).alias("held_code")) if len(codes) > 1 else fact.select(codes[0].alias("held_code"))
+    return stage(each.where(F.col("held_code").isNotNull()).distinct(), "held-keys")
+
+
+def reduced(lookup: Lookup, held: DataFrame) -> Lookup:
+    """The lookup with only the rows of held keys, staged and measured again.
+
+    Up to HELD_KEYS hashes are sent to the tasks that read the lookup, which then shuffles
+    nothing; beyond that hashes and lookup rows meet by a shuffle, never the fact. Hashes that
+    happen to be equal keep a row more and change no result.
+    """
+    few = held.limit(HELD_KEYS + 1).count() <= HELD_KEYS
+    rows = lookup.rows.join(F.broadcast(held) if few else held, lookup.row_code() == held["held_code"], "left_semi")
+    (known,) = measured(replace(lookup, rows=stage(rows, "reduced-lookup"), size=None))
+    return known
+
+
+def reduced_to(fact: DataFrame, uses: Sequence[tuple[Lookup, Mapping[str, Column]]]) -> list[Lookup]:
+    """Each lookup, as measured, reduced to the keys that ``fact`` holds unless it is small.
+
+    ``uses`` has the lookups with how the fact's rows match them; one that is used more than
+    once is reduced once, to the keys of all its uses.
+    """
+    known = dict(zip((id(k) for k, _ in uses), measured(*(k for k, _ in uses))))
+    for i, lookup in list(known.items()):
+        if not lookup.small and not fact.isStreaming:
+            codes = [lookup.key_code(match) for k, match in uses if id(k) == i]
+            known[i] = reduced(lookup, held_keys(fact, codes))
+    return [known[id(k)] for k, _ in uses]
+
+
 def found(name: str) -> Column:
     """The lookup's value column, for use in the updates of :func:`left_lookup`."""
     return column(f"_found_{name}")
@@ -136,10 +181,13 @@ def left_lookup(
 
     ``match`` gives the fact expression for each lookup key. A NULL key matches
     nothing. ``updates`` gives the new expression of each replaced column and may
-    use :func:`found`. ``hot`` are the hashes of frequent keys, where the caller
-    knows them from a cheaper table than ``fact``; any list gives the same rows.
+    use :func:`found`. ``hot`` are the hashes of frequent keys, where the caller has
+    reduced the lookup and knows them from a cheaper table than ``fact``; any list gives
+    the same rows.
     """
     (lookup,) = measured(lookup)
+    if hot is None:
+        (lookup,) = reduced_to(fact, [(lookup, match)])
     keyed = fact.withColumns({f"_key_{k}": e for k, e in lookup.typed(match).items()})
     table = lookup.table.withColumnsRenamed(
         {k: f"_at_{k}" for k in lookup.keys} | {v: f"_found_{v}" for v in lookup.values}

@@ -6,22 +6,19 @@ All counts of an audit come from one aggregate over the table, in long form:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cargoweave.functions.expressions import column, is_hs_code, is_ta_code
-from cargoweave.layout import AUDITED_COLUMNS, SHIPMENT_FIELDS, Field, country_codes, working_type
-from cargoweave.operators.conform import FAILED_CASTS
-from cargoweave.operators.lookup import Lookup
+from cargoweave.layout import AUDITED_COLUMNS, SHIPMENT_FIELDS, Field, country_codes
+from cargoweave.operators.conform import FAILED_CASTS, TYPE_RULES
+from cargoweave.operators.lookup import Lookup, measured
 
 TA_COLUMNS = ("IMPORTER_TA_CODE", "EXPORTER_TA_CODE")
 
 
-_TYPE_RULES = {T.FloatType: "float", T.DateType: "date", T.IntegerType: "integer"}
-
-
 class Measure(NamedTuple):
     check_name: str
     column_name: str
@@ -103,32 +100,69 @@ def unknown_units(df: DataFrame, units: Lookup, unit_column: str = "QUANTITY_UNI
     return unknown_values(df, unit_column, units).select(F.col("value").alias(unit_column))
 
 
+def unknown_value_counts(df: DataFrame, known: Mapping[str, tuple[str, Lookup]]) -> DataFrame:
+    """check_name, column_name, value, n: the unknown values of several columns, in one scan.
+
+    ``known`` gives the column and the lookup of each check. Every row is counted once for each
+    check before its shuffle, and only the distinct values meet the lookups.
+    """
+    def tagged(check: str, name: str, value: Column) -> Column:
+        return F.struct(F.lit(check).alias("check_name"), F.lit(name).alias("column_name"), value.cast("string").alias("value"))
+
+    each = F.array(*(tagged(check, name, column(name)) for check, (name, _) in known.items()))
+    counts = df.select(F.explode(each).alias("v")).groupBy("v.check_name", "v.column_name", "v.value").agg(F.count(F.lit(1)).alias("n"))
+    for check, (_, lookup) in known.items():
+        (key,) = lookup.keys
+        keys = lookup.key_table().select(F.lit(check).alias("known_check"), column(key).cast("string").alias("known_value"))
+        if lookup.small:
+            keys = F.broadcast(keys)
+        counts = counts.join(keys, (F.col("check_name") == F.col("known_check")) & (F.col("value") == F.col("known_value")), "left_anti")
+    return counts
+
+
+def audit_measures() -> list[Measure]:
+    """The scalar checks of an audit."""
+    return null_measures() + hs_measures() + ta_measures() + quantity_measures()
+
+
+def observed(df: DataFrame, observation: Observation, measures: Sequence[Measure]) -> DataFrame:
+    """``df`` whose next action also counts the rows of each measure, at no other pass.
+
+    Put it right before a write: there each task's rows are counted when the task is done, and
+    once, also if tasks are tried again or an earlier stage is.
+    """
+    return df.observe(observation, *(F.count_if(m.condition).alias(f"m{i}") for i, m in enumerate(measures)))
+
+
+def observed_counts(spark: SparkSession, observation: Observation, measures: Sequence[Measure]) -> DataFrame:
+    """What ``observed`` has counted, in the form of :func:`count_measures`; a row for each measure."""
+    n = observation.get
+    rows = [(m.check_name, m.column_name, n[f"m{i}"] or 0) for i, m in enumerate(measures)]
+    return spark.createDataFrame(rows, "check_name string, column_name string, n bigint")
+
+
 def audit(
     df: DataFrame,
     ports: Lookup,
     units: Lookup,
     country_column: str = "COUNTRY_OF_ORIGIN",
     unit_column: str = "QUANTITY_UNIT",
+    scalars: DataFrame | None = None,
 ) -> DataFrame:
     """All checks of a processed table: ``check_name, column_name, value, n``.
 
-    Reads the table three times, a few columns each; give it a written table,
-    not the plan that makes one.
+    ``scalars`` are the counts of ``audit_measures``, where they were taken while the table was
+    written. Reads the table once for the unknown values, and once for the scalars unless they
+    are given; give it a written table, not the plan that makes one.
     """
-    measures = null_measures() + hs_measures() + ta_measures() + quantity_measures()
-    scalars = count_measures(df, measures).filter("check_name <> 'invalid_ta_code' or n > 0")
-
-    def unknown(check: str, value_column: str, known: Lookup) -> DataFrame:
-        return unknown_values(df, value_column, known).select(
-            F.lit(check).alias("check_name"), F.lit(value_column).alias("column_name"), "value", "n"
-        )
-
+    if scalars is None:
+        scalars = count_measures(df, audit_measures())
+    ports, units = measured(ports, units)
+    unknown = unknown_value_counts(df, {"unknown_country": (country_column, ports), "unknown_unit": (unit_column, units)})
     return (
-        scalars.select(
-            "check_name", "column_name", F.lit(None).cast("string").alias("value"), "n"
-        )
-        .unionByName(unknown("unknown_country", country_column, ports))
-        .unionByName(unknown("unknown_unit", unit_column, units))
+        scalars.filter("check_name <> 'invalid_ta_code' or n > 0")
+        .select("check_name", "column_name", F.lit(None).cast("string").alias("value"), "n")
+        .unionByName(unknown)
     )
 
 
@@ -179,8 +213,8 @@ def with_violations(
     )))
     if FAILED_CASTS in df.columns:
         unfit = F.array_compact(F.array(*(
-            F.when(F.map_contains_key(FAILED_CASTS, f.name), F.lit(f"{f.name}:{_TYPE_RULES[type(working_type(f))]}"))
-            for f in fields if type(working_type(f)) in _TYPE_RULES
+            F.when(F.map_contains_key(FAILED_CASTS, f.name), F.lit(f"{f.name}:{rule}"))
+            for f in fields for rule in [next((r for r in TYPE_RULES if r in f.rules), None)] if rule
         )))
         broken = F.array_union(broken, unfit)
     return df.withColumn("violations", broken)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
+from cargoweave.functions.parsing import Parser
+
 # (type, default); a blank or None default is NULL, UUID asks for a record id.
 Added = dict[str, tuple[str, object]]
 
@@ -14,6 +17,9 @@ class Profile(NamedTuple):
     renames: dict[str, str]
     adds: Added
     date_parts: tuple[str, str, str] | None = None  # year, month, day columns
+    # How text is read, by layout field or by its kind (date, float, short, integer); the first
+    # parser that takes a value wins. What is not named is read by DEFAULT_PARSERS.
+    parsers: Mapping[str, tuple[Parser, ...]] = {}
 
 
 # Costa Rica import headings and constants.
@@ -67,13 +73,42 @@ CR_EXPORT = Profile(
 )
 
 # Argentina import columns, headings and constants.
-AR_IMPORT_COLUMNS = """
-DAY MONTH YEAR IMPORT_ID OPER_TYPE CUSTOMS IMPORTER_ID IMPORTER SALES_COUNTRY
-TRANS_TYPE ORIGIN_PORT INCOTERMS TOTAL_FOB TOTAL_FREIGHT TOTAL_INSURANCE
-TOTAL_CIF PACKAGES G_WEIGHT ITEM_NUMBER ORIGIN_COUNTRY QUANTITY
-UNIT_OF_QUANTITY ITEM_FOB ITEM_FREIGHT ITEM_INSURANCE HS_CODE PRODUCT_DESC
-ITEM_CIF SUBITEM_NUMBER BRAND VARIETY ATTRIBUTES SUBITEM_FOB SUBITEM_QUANTITY
-""".split()
+AR_IMPORT_COLUMNS = (
+    "DAY",
+    "MONTH",
+    "YEAR",
+    "IMPORT_ID",
+    "OPER_TYPE",
+    "CUSTOMS",
+    "IMPORTER_ID",
+    "IMPORTER",
+    "SALES_COUNTRY",
+    "TRANS_TYPE",
+    "ORIGIN_PORT",
+    "INCOTERMS",
+    "TOTAL_FOB",
+    "TOTAL_FREIGHT",
+    "TOTAL_INSURANCE",
+    "TOTAL_CIF",
+    "PACKAGES",
+    "G_WEIGHT",
+    "ITEM_NUMBER",
+    "ORIGIN_COUNTRY",
+    "QUANTITY",
+    "UNIT_OF_QUANTITY",
+    "ITEM_FOB",
+    "ITEM_FREIGHT",
+    "ITEM_INSURANCE",
+    "HS_CODE",
+    "PRODUCT_DESC",
+    "ITEM_CIF",
+    "SUBITEM_NUMBER",
+    "BRAND",
+    "VARIETY",
+    "ATTRIBUTES",
+    "SUBITEM_FOB",
+    "SUBITEM_QUANTITY",
+)
 
 AR_IMPORT = Profile(
     "AR",

@@ -6,15 +6,64 @@ in question are common table expressions in front of it.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-from cargoweave.layout import P7_REQUIRED, SHIPMENT_FIELDS, country_codes, working_type
+from cargoweave.layout import country_codes
 from checks.stand_ins import NATION_CODES
 
-_SQL_TYPES = {
-    T.FloatType(): "float", T.DateType(): "date", T.IntegerType(): "integer", T.StringType(): "varchar",
+# The shipment layout in its order with the types of the working table, stated here
+# once more so that the package is checked against it.
+_TYPES = {
+    "ARRIVAL_DATE": "date",
+    "BILL_OF_LADING_NO": "varchar",
+    "DECLARATION_NUMBER": "varchar",
+    "HS_CODE": "varchar",
+    "HS_CODE_DESCRIPTION": "varchar",
+    "PRODUCT_DETAILS": "varchar",
+    "IMPORTER_TA_CODE": "varchar",
+    "EXPORTER_TA_CODE": "varchar",
+    "FOB_VALUE": "double",
+    "FOB_CURRENCY": "varchar",
+    "FREIGHT_AMOUNT": "double",
+    "INSURANCE_AMOUNT": "double",
+    "F_I_CURRENCY": "varchar",
+    "CIF_VALUE": "double",
+    "CIF_CURRENCY": "varchar",
+    "STATISTICAL_VALUE_USD": "double",
+    "UNIT_PRICE": "double",
+    "NET_WEIGHT": "double",
+    "NET_WEIGHT_UNIT": "varchar",
+    "GROSS_WEIGHT": "double",
+    "GROSS_WEIGHT_UNIT": "varchar",
+    "QUANTITY": "double",
+    "QUANTITY_UNIT": "varchar",
+    "PACKAGE_AMOUNT": "double",
+    "PACKAGES_UNIT": "varchar",
+    "INCOTERMS": "varchar",
+    "PAYMENT_TYPE": "varchar",
+    "TRANSPORT_TYPE": "varchar",
+    "REGIME": "varchar",
+    "BRAND_NAME": "varchar",
+    "MANUFACTURING_COMPANY": "varchar",
+    "COUNTRY_OF_ORIGIN": "varchar",
+    "PORT_OF_ARRIVAL": "varchar",
+    "PORT_OF_DEPARTURE": "varchar",
+    "CONDITION_New_Used": "varchar",
+    "NOTIFY_PARTY": "varchar",
+    "NOTIFY_ADDRESS": "varchar",
+    "TRANSPORT_COMPANY": "varchar",
+    "CONTAINER_COUNT": "double",
+    "TOTAL_TEUS": "double",
+    "EXPORT_DATA_TYPE": "integer",
+    "IMPORT_DATA_TYPE": "integer",
+    "ITEM_NO": "double",
+    "DATA_TYPE": "varchar",
+    "VESSEL_NAME": "varchar",
+    "RECORD_ID": "varchar",
 }
-_TYPES = {f.name: _SQL_TYPES[working_type(f)] for f in SHIPMENT_FIELDS}
+# The fields that a delivered row must carry.
+P7_REQUIRED = (
+    "ARRIVAL_DATE", "IMPORTER_TA_CODE", "EXPORTER_TA_CODE", "COUNTRY_OF_ORIGIN", "EXPORT_DATA_TYPE",
+    "IMPORT_DATA_TYPE", "DATA_TYPE", "RECORD_ID",
+)
 
 CODES = "(" + ", ".join(f"'{code}'" for code in country_codes()) + ")"
 
@@ -98,10 +147,10 @@ def ported(table: str, *pairs: tuple[str, str]) -> str:
 PORTS = (("IMPORTER_COUNTRY", "PORT_OF_ARRIVAL"), ("EXPORTER_COUNTRY", "PORT_OF_DEPARTURE"))
 
 
-def described(table: str) -> str:
+def described(table: str, codes: str = "hs_desc") -> str:
     return f"""select t.* replace (coalesce(h.new_HS_CODE, t.HS_CODE) as HS_CODE,
       coalesce(h.HS_CODE_DESC, t.HS_CODE_DESCRIPTION) as HS_CODE_DESCRIPTION)
-      from {table} t left join (select * from hs_desc where country = 'CR') h
+      from {table} t left join (select * from {codes} where country = 'CR') h
       on t.HS_CODE = h.HS_CODE"""
 
 
@@ -112,9 +161,9 @@ def converted(table: str) -> str:
       on t.QUANTITY_UNIT = m.unit"""
 
 
-def with_ta(table: str, *sides: str) -> str:
+def with_ta(table: str, *sides: str, keys: str = "company_keys") -> str:
     joins = " ".join(
-        f"left join company_keys k{i} on t.{s}_COUNTRY = k{i}.country"
+        f"left join {keys} k{i} on t.{s}_COUNTRY = k{i}.country"
         f" and {key_of(f't.{s}_NAME')} = k{i}.company_key"
         for i, s in enumerate(sides)
     )
@@ -196,6 +245,20 @@ VIEWS = {
       from customer where c_custkey % 3 <> 0""",
     "company_keys": f"""select country, {key_of('COMPANY_ham')} as company_key,
       min(TA_CODE) as TA_CODE from company where {key_of('COMPANY_ham')} is not null group by 1, 2""",
+    "many_keys": f"""select country, {key_of('COMPANY_ham')} as company_key, min(TA_CODE) as TA_CODE from (
+      select * from company union all
+      select 'CR', concat('TRADER ', l_orderkey, ' ', l_linenumber), concat('CR', {numbered('l_orderkey')}) from lineitem)
+      where {key_of('COMPANY_ham')} is not null group by 1, 2""",
+    "tax_keys": f"""select country, tax_key, min(TA_CODE) as TA_CODE from (
+      select {code_of('c_nationkey')} as country, concat({code_of('c_nationkey')}, {numbered('c_custkey')}) as TA_CODE,
+        cast(case when c_custkey % 5 = 0 then c_custkey + 1 else c_custkey end as varchar) as tax_key
+      from customer where c_custkey % 4 <> 0
+      union all select 'CR', concat('CR', {numbered('c_custkey')}),
+        cast(case when c_custkey % 5 = 0 then c_custkey + 1 else c_custkey end as varchar)
+      from customer where c_custkey % 3 <> 0) group by 1, 2""",
+    "hs_chain": """select country, HS_CODE, HS_CODE_DESC,
+      case when new_HS_CODE is not null then lpad(cast(cast(HS_CODE as bigint) + 1 as varchar), 8, '0') end as new_HS_CODE
+      from hs_desc""",
     "names": f"""select concat('yeni_veri_', lower({code_of('c_nationkey')}), '_',
       strftime(l_shipdate, '%Y_%m'),
       case l_returnflag when 'R' then '_exp' when 'A' then '_imp' else '' end,
@@ -287,11 +350,8 @@ def audit(table: str) -> str:
         from ({unknown(table, 'QUANTITY_UNIT', KNOWN_UNITS)})"""
 
 
-P7 = ", ".join(
-    f"cast({f.name} as {kind}) as {f.name}"
-    for f in SHIPMENT_FIELDS
-    for kind in [{"integer": "varchar"}.get(_TYPES[f.name], _TYPES[f.name])]
-)
+_DELIVERED = {"integer": "varchar", "double": "float"}
+P7 = ", ".join(f"cast({name} as {_DELIVERED.get(kind, kind)}) as {name}" for name, kind in _TYPES.items())
 P7_COMPLETE = " and ".join(f"{c} is not null" for c in P7_REQUIRED)
 P7_MISSING = "concat_ws(',', " + ", ".join(tag(f"{c} is null", c) for c in P7_REQUIRED) + ")"
 
@@ -336,6 +396,98 @@ CONFORM_AR = f"""select r.*,
     lpad(cast(l_partkey as varchar), 8, '0') as HS_CODE, p_name as PRODUCT_DETAILS,
     p_brand as BRAND_NAME, {_AR_NULLS} from lines) r"""
 
+HOT_IMPORTER = """select * replace (
+  case when cast(DECLARATION_NUMBER as bigint) % 3 = 0 then 'CUSTOMER#000000001' else IMPORTER_NAME end as IMPORTER_NAME,
+  case when cast(DECLARATION_NUMBER as bigint) % 3 = 0 then 'CR' else IMPORTER_COUNTRY end as IMPORTER_COUNTRY)
+  from ships_coded"""
+
+# Tax id before name, on either side; exporters have none here.
+BY_RANK = f"""select t.* replace (
+    coalesce(t.EXPORTER_TA_CODE, e.TA_CODE) as EXPORTER_TA_CODE,
+    coalesce(t.IMPORTER_TA_CODE, x.TA_CODE, i.TA_CODE) as IMPORTER_TA_CODE),
+    case when t.EXPORTER_TA_CODE is null and e.TA_CODE is not null then 'name' end as EXPORTER_TA_CODE_BY,
+    case when t.IMPORTER_TA_CODE is not null then null when x.TA_CODE is not null then 'tax id'
+      when i.TA_CODE is not null then 'name' end as IMPORTER_TA_CODE_BY
+  from p_country t
+  left join company_keys e on t.EXPORTER_COUNTRY = e.country and {key_of('t.EXPORTER_NAME')} = e.company_key
+  left join tax_keys x on t.IMPORTER_COUNTRY = x.country and {key_of('t.IMPORTER_TAX_ID')} = x.tax_key
+  left join company_keys i on t.IMPORTER_COUNTRY = i.country and {key_of('t.IMPORTER_NAME')} = i.company_key"""
+
+# The table of texts: what its odd values make of a row, by item number.
+_TEXT_READ = """case when ITEM_NO in (4, 5, 7) then null else ARRIVAL_DATE end as ARRIVAL_DATE,
+  case ITEM_NO when 1 then 16777217 when 6 then null else CIF_VALUE end as CIF_VALUE,
+  case when ITEM_NO in (2, 3) then null else QUANTITY end as QUANTITY"""
+_TEXT_FAILED = """case ITEM_NO when 3 then 'QUANTITY=12,5' when 4 then 'ARRIVAL_DATE=2020-5'
+  when 5 then 'ARRIVAL_DATE=31/12/2020' when 6 then 'CIF_VALUE=12345678901234567'
+  when 7 then 'ARRIVAL_DATE=2020' else '' end"""
+_TEXT_BROKEN = """case when failed <> '' then concat(split_part(failed, '=', 1), case when failed like 'ARRIVAL%'
+  then ':date' else ':float' end) end"""
+_TEXT_COLUMNS = """DECLARATION_NUMBER, ITEM_NO, ARRIVAL_DATE, CIF_VALUE, QUANTITY, QUANTITY_UNIT, HS_CODE,
+  HS_CODE_DESCRIPTION, failed"""
+TEXT_PROCESS = f"""select {_TEXT_COLUMNS}, concat_ws(',', nullif({VIOLATIONS}, ''), {_TEXT_BROKEN}) as violations
+  from (select * replace ({_TEXT_READ}), {_TEXT_FAILED} as failed from processed)"""
+_LOCAL_VIEWS = {
+    "l_came": """select * replace (
+      case when ITEM_NO in (4, 7) then null when ITEM_NO = 5 then date '2020-12-31' else ARRIVAL_DATE end as ARRIVAL_DATE,
+      case ITEM_NO when 1 then 16777217 when 6 then null else CIF_VALUE end as CIF_VALUE,
+      case ITEM_NO when 2 then null when 3 then 12.5 else QUANTITY end as QUANTITY) from p_country""",
+    "l_quantity": converted("l_came"),
+}
+TEXT_LOCAL = """select DECLARATION_NUMBER, ITEM_NO, ARRIVAL_DATE, CIF_VALUE, QUANTITY,
+  case ITEM_NO when 3 then 'QUANTITY=number ,' when 5 then 'ARRIVAL_DATE=date dd/MM/yyyy' else '' end as parsed_by,
+  case when ITEM_NO in (4, 7) then 'ARRIVAL_DATE' when ITEM_NO = 6 then 'CIF_VALUE' else '' end as failed
+  from l_quantity"""
+
+
+def repaired(came: str, failed: str, codes: str = "hs_desc") -> dict[str, str]:
+    """Views from ``came``, which has the values before any lookup as came_ columns, processed and
+    with its violations, to ``r_done``: the rows that were held, repaired."""
+    return {
+        "r_filled": f"""select * exclude (violations) replace (nullif(came_hs, '') as HS_CODE, null as HS_CODE_DESCRIPTION,
+          came_quantity as QUANTITY, came_unit as QUANTITY_UNIT,
+          coalesce(COUNTRY_OF_ORIGIN, EXPORTER_COUNTRY, 'ZZ') as COUNTRY_OF_ORIGIN,
+          coalesce(EXPORTER_COUNTRY, COUNTRY_OF_ORIGIN, 'ZZ') as EXPORTER_COUNTRY),
+          HS_CODE as old_hs, HS_CODE_DESCRIPTION as old_text, COUNTRY_OF_ORIGIN as old_origin, EXPORTER_COUNTRY as old_exporter,
+          EXPORTER_TA_CODE as old_code from {came} where violations <> ''""",
+        "r_hs": described("r_filled", codes),
+        "r_quantity": converted("r_hs"),
+        "r_ta": with_ta("r_quantity", "EXPORTER", "IMPORTER"),
+        "r_done": f"select * replace ({failed} as failed) from r_ta",
+    }
+
+
+_TEXT_VIEWS = {
+    "t_came": f"""select * replace ({_TEXT_READ}), {_TEXT_FAILED} as failed, HS_CODE as came_hs, QUANTITY_UNIT as came_unit,
+      case when ITEM_NO = 2 then null when ITEM_NO = 3 then 12.5 else QUANTITY end as came_quantity from p_country""",
+    "t_hs": described("t_came"),
+    "t_quantity": converted("t_hs"),
+    "t_processed": with_ta("t_quantity", "EXPORTER", "IMPORTER"),
+    "t_checked": f"select *, concat_ws(',', nullif({VIOLATIONS}, ''), {_TEXT_BROKEN}) as violations from t_processed",
+    **repaired("t_checked", "case when ITEM_NO in (3, 5) then '' else failed end"),
+}
+TEXT_REMEDIATED = f"""select {_TEXT_COLUMNS}, violations
+  from (select *, concat_ws(',', nullif({VIOLATIONS}, ''), {_TEXT_BROKEN}) as violations from (
+    select * replace (case when ITEM_NO = 5 then date '2020-12-31' else ARRIVAL_DATE end as ARRIVAL_DATE) from r_done))"""
+
+_ROUND_VIEWS = {
+    "t_came": """select *, '' as failed, HS_CODE as came_hs, QUANTITY_UNIT as came_unit, QUANTITY as came_quantity from p_country""",
+    "t_hs": described("t_came", "hs_chain"),
+    "t_quantity": converted("t_hs"),
+    "t_processed": with_ta("t_quantity", "EXPORTER", "IMPORTER"),
+    "t_checked": f"select *, {VIOLATIONS} as violations from t_processed",
+    **repaired("t_checked", "''", "hs_chain"),
+}
+_ROUND_COLUMNS = """RECORD_ID, DECLARATION_NUMBER, ITEM_NO, HS_CODE, HS_CODE_DESCRIPTION, COUNTRY_OF_ORIGIN, EXPORTER_TA_CODE,
+  QUANTITY, QUANTITY_UNIT, violations"""
+_CHANGED = " or ".join(f"{c} is distinct from {old}" for c, old in {
+    "HS_CODE": "old_hs", "HS_CODE_DESCRIPTION": "old_text", "COUNTRY_OF_ORIGIN": "old_origin",
+    "EXPORTER_COUNTRY": "old_exporter", "EXPORTER_TA_CODE": "old_code",
+}.items())
+REMEDIATION_ROUNDS = f"""select {_ROUND_COLUMNS}, 'accepted' as outcome, 0 as rounds from t_checked where violations = ''
+  union all select {_ROUND_COLUMNS}, case when violations = '' then 'accepted' else 'quarantined' end as outcome,
+    case when {_CHANGED} then 1 else 0 end as rounds
+  from (select *, {VIOLATIONS} as violations from r_done)"""
+
 REMEDIATED = f"""select *, {VIOLATIONS} as violations from (
   {with_ta('r_hs', 'EXPORTER', 'IMPORTER')})"""
 _REMEDY_VIEWS = {
@@ -396,6 +548,16 @@ _BODIES = {
     "unit_convert": converted("shipments"),
     "hs_enrich_shuffled": described("shipments"),
     "ta_code_both_shuffled": with_ta("ships_coded", "EXPORTER", "IMPORTER"),
+    "ta_code_any_shuffled": TA_ANY,
+    "ta_code_reduced": with_ta(f"({HOT_IMPORTER})", "EXPORTER", "IMPORTER", keys="many_keys"),
+    "ta_code_by_rank": BY_RANK,
+    "ta_code_by_rank_shuffled": BY_RANK,
+    "process_full_shuffled": "select * from processed",
+    "text_process": TEXT_PROCESS,
+    "run_unprocessed": """select concat('yeni_veri_cr_2024_0', m.month, '_imp') as table_name,
+      count(*) filter (where violations = '') as accepted, count(*) filter (where violations <> '') as quarantined,
+      month < 5 as marked from (select unnest(range(1, 6)) as month) m
+      left join checked c on month < 5 and cast(ITEM_NO as bigint) % 4 = month - 1 group by month""",
     "text_intake_violations": """select 'float' as check_name, 'QUANTITY' as column_name, count(*) as n
       from raw where ITEM_NO = 3""",
     "null_counts": null_counts("shipments"),
@@ -426,8 +588,18 @@ _BODIES = {
 }
 
 
+#: Bodies with views of their own.
+_WITH_VIEWS = {
+    "remediated_rows": (_REMEDY_VIEWS, REMEDIATED),
+    "text_local": (_LOCAL_VIEWS, TEXT_LOCAL),
+    "text_remediated": (_TEXT_VIEWS, TEXT_REMEDIATED),
+    "remediation_rounds": (_ROUND_VIEWS, REMEDIATION_ROUNDS),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     texts = {name: f"{_PRELUDE}\n{body}" for name, body in _BODIES.items()}
-    remedy = ",\n".join(f"{name} as ({text})" for name, text in _REMEDY_VIEWS.items())
-    texts["remediated_rows"] = f"{_PRELUDE},\n{remedy}\n{REMEDIATED}"
+    for name, (views, body) in _WITH_VIEWS.items():
+        own = ",\n".join(f"{view} as ({text})" for view, text in views.items())
+        texts[name] = f"{_PRELUDE},\n{own}\n{body}"
     return texts

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargoweave.functions.expressions import company_key, data_type_of
+from cargoweave.functions.parsing import date_as, number_as
 from cargoweave.operators import conform as C, enrich as E, quality as Q
+from cargoweave.operators.lookup import measured
 from cargoweave.plans import stages as S
 from cargoweave.profiles import AR_IMPORT, CR_EXPORT, CR_IMPORT
-from cargoweave.sources import ledger as L, tables as T
+from cargoweave.sources import ledger as L, published as P, tables as T
 from cargoweave.streaming.incremental import process_new_files, read_processed
 from checks import stand_ins as D
 
@@ -255,6 +259,36 @@ def ta_code_both_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.assign_ta_codes(country_all(spark, sf_dir), lookup)
 
 
+@query
+def ta_code_any_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = country_all(spark, sf_dir)
+    present = E.present_countries(coded, "EXPORTER_COUNTRY")
+    lookup = E.company_codes(D.company(spark, sf_dir), "any", present, broadcast_bytes=0)
+    return E.assign_ta_code(coded, E.EXPORTER, lookup)
+
+
+@query
+def ta_code_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One importer has a third of the rows; the company list is too large to broadcast until it
+    is reduced to the companies that occur."""
+    (whole,) = measured(E.company_codes(D.many_companies(spark, sf_dir)))
+    rows = D.hot_importer(country_all(spark, sf_dir))
+    return E.assign_ta_codes(rows, replace(whole, broadcast_bytes=whole.size // 2))
+
+
+@query
+def ta_code_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tax id first, then name; they disagree for the neighbours of every fifth customer."""
+    coded = S.stage_country(stage_columns(spark, sf_dir), D.lookups(spark, sf_dir))
+    return E.assign_ta_codes_by_rank(coded, D.company_with_tax_ids(spark, sf_dir), matched_by=True)
+
+
+@query
+def ta_code_by_rank_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = S.stage_country(stage_columns(spark, sf_dir), D.lookups(spark, sf_dir))
+    return E.assign_ta_codes_by_rank(coded, D.company_with_tax_ids(spark, sf_dir), matched_by=True, broadcast_bytes=0)
+
+
 # Quality
 
 
@@ -376,6 +410,105 @@ def process_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.process(D.raw_cr_import(spark, sf_dir), CR_IMPORT, D.lookups(spark, sf_dir))
 
 
+@query
+def process_full_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No lookup may be broadcast."""
+    return S.process(D.raw_cr_import(spark, sf_dir), CR_IMPORT, D.lookups(spark, sf_dir, broadcast_bytes=0))
+
+
+def _outcome_of_text(df: DataFrame) -> DataFrame:
+    failed = F.array_sort(F.transform(F.map_entries(C.FAILED_CASTS), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return as_text(df.withColumn("failed", F.concat_ws(";", failed)), "violations").select(
+        "DECLARATION_NUMBER", "ITEM_NO", "ARRIVAL_DATE", "CIF_VALUE", "QUANTITY", "QUANTITY_UNIT", "HS_CODE",
+        "HS_CODE_DESCRIPTION", "failed", "violations",
+    )
+
+
+@query
+def text_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table of texts, with values that are no number or date, and some that are missing."""
+    processed = S.process(D.raw_as_text(spark, sf_dir), CR_IMPORT, D.lookups(spark, sf_dir))
+    return _outcome_of_text(Q.with_violations(processed))
+
+
+#: How a country writes dates and numbers that the plain profile does not take.
+LOCAL = CR_IMPORT._replace(parsers={
+    "date": (date_as("yyyy-MM-dd"), date_as("dd/MM/yyyy")),
+    "float": (number_as("."), number_as(",")),
+})
+
+
+@query
+def text_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table under a profile that names its formats, with the parsers that read odd values."""
+    processed = S.process(D.raw_as_text(spark, sf_dir), LOCAL, D.lookups(spark, sf_dir))
+    by = F.array_sort(F.transform(F.map_entries(C.PARSED_BY), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    failed = F.array_sort(F.map_keys(C.FAILED_CASTS))
+    return processed.select(
+        "DECLARATION_NUMBER", "ITEM_NO", "ARRIVAL_DATE", "CIF_VALUE", "QUANTITY",
+        F.concat_ws(";", by).alias("parsed_by"), F.concat_ws(";", failed).alias("failed"),
+    )
+
+
+@query
+def text_remediated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that text_process holds back, written and repaired under the wider profile."""
+    lookups, path, out = D.lookups(spark, sf_dir), T.new_path(spark, "split"), T.new_path(spark, "repaired")
+    processed = S.process(D.raw_as_text(spark, sf_dir), CR_IMPORT, lookups, keep_source=True)
+    S.write_split(processed, path)
+    S.remediate_folder(spark, path, processed.schema, lookups, out, LOCAL)
+    return _outcome_of_text(T.read_table(spark, out))
+
+
+@query
+def remediation_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds over held rows with chained tariff codes: accepted rows of all rounds, and what is
+    held after the last, are the whole table; the second round changes nothing."""
+    lookups = replace(D.lookups(spark, sf_dir), hs=E.hs_descriptions(D.hs_chain(spark, sf_dir), "CR"))
+    paths = [T.new_path(spark, name) for name in ("split", "round-1", "round-2")]
+    processed = S.process(D.raw_cr_import(spark, sf_dir), CR_IMPORT, lookups, keep_source=True)
+    S.write_split(processed, paths[0])
+    schema = processed.schema
+    for source, out in zip(paths, paths[1:]):
+        S.remediate_folder(spark, source, schema, lookups, out)
+        schema = T.read_table(spark, out).drop("violations", "outcome").schema
+    accepted = [T.read_table(spark, path).filter("outcome = 'accepted'") for path in paths[:2]]
+    parts = [*accepted, T.read_table(spark, paths[2])]
+    repairs = F.col(S.REPAIRS) if S.REPAIRS in parts[1].columns else F.lit(None)
+    rounds = F.coalesce(F.array_max(F.transform(repairs, lambda r: r["round"])), F.lit(0))
+    return as_text(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), "violations").select(
+        "RECORD_ID", "DECLARATION_NUMBER", "ITEM_NO", "HS_CODE", "HS_CODE_DESCRIPTION", "COUNTRY_OF_ORIGIN",
+        "EXPORTER_TA_CODE", "QUANTITY", "QUANTITY_UNIT", "violations", "outcome", rounds.alias("rounds"),
+    )
+
+
+@query
+def run_unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five tables from an empty ledger, one of them broken: what was published of each."""
+    raw, out, ledger = D.raw_cr_import(spark, sf_dir), T.new_path(spark, "runs"), T.new_path(spark, "runs-ledger")
+    names = [f"yeni_veri_cr_2024_{month:02}_imp" for month in range(1, 6)]
+    listing = spark.createDataFrame([(n,) for n in names], "table_name string")
+
+    def open_table(name: str) -> DataFrame:
+        if name == names[4]:
+            raise ValueError("this table cannot be opened")
+        return raw.filter(F.col("ITEM") % 4 == names.index(name))
+
+    report = S.process_unprocessed(spark, listing, open_table, {"CR": D.lookups(spark, sf_dir)}, out, ledger)
+    done = {r.table_name for r in report if r.error is None}
+    written = [
+        P.read_published(spark, f"{out}/{name}_islendi").select(F.lit(name).alias("table_name"), "outcome") for name in sorted(done)
+    ]
+    counts = reduce(DataFrame.unionByName, written).groupBy("table_name").agg(
+        F.count_if(F.col("outcome") == "accepted").alias("accepted"), F.count_if(F.col("outcome") == "quarantined").alias("quarantined")
+    )
+    marked = L.read_ledger(spark, ledger).select("table_name", F.lit(True).alias("marked"))
+    return listing.join(counts, "table_name", "left").join(marked, "table_name", "left").select(
+        "table_name", F.coalesce("accepted", F.lit(0)).alias("accepted"), F.coalesce("quarantined", F.lit(0)).alias("quarantined"),
+        F.coalesce("marked", F.lit(False)).alias("marked"),
+    )
+
+
 @query
 def text_intake_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table as text, with quantities that are no numbers on every third item."""

@@ -12,7 +12,11 @@ from cargoweave.profiles import AR_IMPORT_COLUMNS, CR_EXPORT, CR_IMPORT
 from cargoweave.sources.tables import deal_out, read_table
 
 # The codes that stand for the nations 0 to 24.
-NATION_CODES = "ADAEAFAGAIALAMAOAQARASATAUAWAXAZBABBBDBEBFBGBHBIBJ"
+NATIONS = (
+    "AD", "AE", "AF", "AG", "AI", "AL", "AM", "AO", "AQ", "AR", "AS", "AT", "AU", "AW", "AX", "AZ",
+    "BA", "BB", "BD", "BE", "BF", "BG", "BH", "BI", "BJ",
+)
+NATION_CODES = "".join(NATIONS)
 
 
 @lru_cache(maxsize=64)
@@ -173,15 +177,18 @@ def unit_map(spark: SparkSession) -> DataFrame:
     })
 
 
-def company(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers at home and next door, customers at home and in Costa Rica."""
+def company_with_tax_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers at home and next door, customers at home and in Costa Rica. Customers have a tax
+    id, every fifth that of the next one."""
 
     def listed(table: DataFrame, prefix: str, country: Column) -> DataFrame:
         key = {"s": "s_suppkey", "c": "c_custkey"}[prefix]
+        tax_id = F.concat(F.lit("# "), F.when(F.col(key) % 5 == 0, F.col(key) + 1).otherwise(F.col(key)).cast("string"))
         return table.select(
             country.alias("country"),
             F.upper(f"{prefix}_name").alias("COMPANY_ham"),
             F.concat(country, numbered(F.col(key))).alias("TA_CODE"),
+            (tax_id if prefix == "c" else F.lit(None).cast("string")).alias("COMPANY_TAX_ID"),
         )
 
     supplier, customer = base(spark, sf_dir, "supplier"), base(spark, sf_dir, "customer")
@@ -197,6 +204,51 @@ def company(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return company_with_tax_ids(spark, sf_dir).drop("COMPANY_TAX_ID")
+
+
+def many_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The companies, and as many again as there are order lines, which never occur."""
+    number = F.concat_ws(" ", "l_orderkey", "l_linenumber")
+    return company(spark, sf_dir).unionByName(base(spark, sf_dir, "lineitem").select(
+        F.lit("CR").alias("country"), F.concat(F.lit("TRADER "), number).alias("COMPANY_ham"),
+        F.concat(F.lit("CR"), numbered(F.col("l_orderkey"))).alias("TA_CODE"),
+    ))
+
+
+def hot_importer(df: DataFrame) -> DataFrame:
+    """A third of the declarations, all of one importer."""
+    third = F.col("DECLARATION_NUMBER").cast("bigint") % 3 == 0
+    return df.withColumns({
+        "IMPORTER_NAME": F.when(third, "CUSTOMER#000000001").otherwise(F.col("IMPORTER_NAME")),
+        "IMPORTER_COUNTRY": F.when(third, "CR").otherwise(F.col("IMPORTER_COUNTRY")),
+    })
+
+
+def raw_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Costa Rica import table with all columns as text, and odd values by item number."""
+    raw = raw_cr_import(spark, sf_dir)
+    heading = {new: old for old, new in CR_IMPORT.renames.items()}
+    item = F.col(f"`{heading['ITEM_NO']}`")
+    odd = {
+        "CIF_VALUE": {1: "16777217", 6: "12345678901234567"},
+        "QUANTITY": {2: "", 3: "12,5"},
+        "ARRIVAL_DATE": {4: "2020-5", 5: "31/12/2020", 7: "2020"},
+    }
+    text = {c: F.col(f"`{c}`").cast("string") for c in raw.columns}
+    for name, values in odd.items():
+        for number, value in values.items():
+            text[heading[name]] = F.when(item == number, value).otherwise(text[heading[name]])
+    return raw.select(*(value.alias(c) for c, value in text.items()))
+
+
+def hs_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tariff codes whose new code is that of the next part, and so listed itself."""
+    nearby = numbered(F.col("HS_CODE").cast("bigint") + 1)
+    return hs_desc(spark, sf_dir).withColumn("new_HS_CODE", F.when(F.col("new_HS_CODE").isNotNull(), nearby))
+
+
 def _listed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).withColumn("table_name", F.concat(
         F.lit("yeni_veri_"), F.lower(nation_code(F.col("c_nationkey"))), F.lit("_"),

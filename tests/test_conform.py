@@ -88,7 +88,7 @@ def test_typed_columns_and_order(spark):
     df = spark.createDataFrame([(1, 2.0, "h")], "extra int, quantity double, `z.1` string")
     typed = C.add_typed_columns(df, include_text=False)
     assert "BILL_OF_LADING_NO" not in typed.columns and "quantity" in typed.columns
-    assert dict(typed.dtypes)["FOB_VALUE"] == "float"
+    assert dict(typed.dtypes)["FOB_VALUE"] == "double"
     assert dict(typed.dtypes)["ARRIVAL_DATE"] == "date"
     assert dict(typed.dtypes)["IMPORT_DATA_TYPE"] == "int"
     final = C.finalize(df)

@@ -3,7 +3,7 @@ import pytest
 from cargoweave.operators import enrich as E, quality as Q
 from cargoweave.plans import stages as S
 from cargoweave.profiles import CR_IMPORT
-from cargoweave.sources import ledger as L, tables as T
+from cargoweave.sources import ledger as L, published as P, tables as T
 from checks import stand_ins as D
 
 SF = "/root/testdata/sf0.001"
@@ -83,7 +83,7 @@ def test_run_table_writes_audits_and_marks(spark, raw, lookups):
     for _ in range(2):  # a second run replaces the output and marks nothing twice
         report = S.run_table(spark, name, raw, "CR", lookups, out, ledger)
     assert {r.check_name for r in report.collect()} >= {"null", "unknown_country", "unknown_unit"}
-    written = spark.read.parquet(f"{out}/{name}_islendi")
+    written = P.read_published(spark, f"{out}/{name}_islendi")
     assert written.count() == raw.count()
     assert {r.outcome for r in written.select("outcome").distinct().collect()} <= {
         "accepted", "quarantined"
