@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cargoweave.llm.common import staged
 from cargoweave.llm.graph import components
 
-#: Stars before what is left of a bucket is compared pair by pair. It decides what is cheaper,
-#: and changes no result.
-STARS = 8
+#: Stars before what is left of a bucket is compared pair by pair, and the share of a star's pairs
+#: that has to be linked for another. Both decide what is cheaper, and change no result.
+STARS, WORTH = 8, 0.02
 
 
 def linked_components(
@@ -27,7 +27,7 @@ def linked_components(
     that are links. Groups of thousands of copies share buckets, so their pairs are not written
     out: the members of a bucket are compared with one of them, which joins a group of copies at
     once. That is repeated with fresh pivots, each of the largest component of its bucket and
-    compared with the members of others only, as long as it links something. Pivots are members
+    compared with the members of others only, as long as that links enough. Pivots are members
     that share large buckets with many, the same ones in all buckets if possible: they are
     the likeliest to be near to all.
 
@@ -55,13 +55,16 @@ def linked_components(
         )
         compared = pairs if compared is None else compared.unionByName(pairs)
         links = staged(verify(pairs).select("a", "b"), "links")
-        if links.isEmpty():
+        n_links = links.count()
+        if n_links == 0:
             break
         edges = links if found is None else links.unionByName(found.toDF("a", "b"))
         found = staged(components(edges), "found")
         rest = staged(_open(rest, pivots, found), "rest")
         if rest.isEmpty():
             return found
+        if n_links < WORTH * pairs.count():
+            break
     found = none if found is None else found
     sides = attach(rest.select("bucket", "id", "component").distinct())
     left, right = (
