@@ -203,20 +203,19 @@ def _lines(docs: DataFrame, least: int, with_text: bool = False) -> DataFrame:
     return _plain(docs).mapInArrow(run, schema)
 
 
-def _sketched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, chars, sketch) of the lines whose id is in the staged table ``wanted``."""
+def _sketched(lines: DataFrame) -> DataFrame:
+    """(id, chars, sketch) of lines (id, line)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = batch.column(1).to_pylist()
-            flat = sketches(lines).ravel()
-            offsets = np.arange(len(lines) + 1, dtype=np.int32) * (SKETCH_BITS // 64)
+            texts = batch.column(1).to_pylist()
+            flat = sketches(texts).ravel()
+            offsets = np.arange(len(texts) + 1, dtype=np.int32) * (SKETCH_BITS // 64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in lines], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(flat))],
+                [batch.column(0), pa.array([len(x) for x in texts], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(flat))],
                 ["id", "chars", "sketch"],
             )
 
-    lines = semi(_lines(docs, CHARS_PER_EDIT, True), wanted, "id").groupBy("id").agg(F.min("line").alias("line"))
     return lines.select("id", "line").mapInArrow(run, "id long, chars int, sketch array<long>")
 
 
@@ -266,11 +265,11 @@ def line_classes(docs: DataFrame) -> DataFrame:
     """(node, component) of the line ids that are the same as another line but for edits."""
     buckets = staged(_buckets(docs, _shared_map(docs)).distinct(), "segments")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        wanted = staged(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
-        texts = semi(_lines(docs, CHARS_PER_EDIT, True), wanted, "id")
-        texts = staged(texts.groupBy("id").agg(F.min("line").alias("line")), "texts")
+    wanted = staged(buckets.select("id").distinct(), "wanted")
+    texts = semi(_lines(docs, CHARS_PER_EDIT, True), wanted, "id")
+    texts = staged(texts.groupBy("id").agg(F.min("line").alias("line")), "texts")  # of the lines that share a segment
 
+    def verify(pairs: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -283,8 +282,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
         )
 
     def attach(rest: DataFrame) -> DataFrame:
-        wanted = staged(rest.select("id").distinct(), "wanted")
-        return rest.join(staged(_sketched(docs, wanted), "sketched"), "id")
+        return rest.join(_sketched(texts.join(rest.select("id").distinct(), "id", "left_semi")), "id")
 
     def likely() -> Column:
         """Lengths and sketches of lines that can be within the edits; it misses none."""
