@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cargoweave.llm.common import WORD_GAP, staged
+from cargoweave.llm.common import SMALL_SET, WORD_GAP, staged
 from cargoweave.llm.near import linked_components
 
 #: Anchors: frequent function words of English, Spanish, French and German. Fixed values.
@@ -168,7 +168,7 @@ def _stretch(borders: list[int]) -> Column:
 
 
 def _with_next(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, signatures) with next_text and next_signatures, of the row that follows.
+    """``docs`` (doc_id, text) with signatures, and next_text and next_signatures of the row that follows.
 
     Rows are ordered by doc_id (NULL first), then text, within stretches of doc_ids that hold about
     as many rows each, however the ids lie; the first row of a stretch is also a guest at the end of
@@ -188,8 +188,9 @@ def _with_next(docs: DataFrame) -> DataFrame:
     seated = (
         docs.join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("first")), "left")
         .withColumn("seat", F.explode(seats))
-        .select("doc_id", "text", "signatures", F.col("seat.s").alias("stretch"), F.col("seat.g").alias("guest"))
+        .select("doc_id", "text", F.col("seat.s").alias("stretch"), F.col("seat.g").alias("guest"))
     )
+    seated = signed(seated.repartition("stretch"))  # where the texts have come together, so that signatures do not travel
     following = Window.partitionBy("stretch").orderBy("guest", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
     return (
         seated.withColumn("next_text", F.lead("text").over(following))
@@ -207,7 +208,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     a doc_id come before all others.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = _with_next(signed(plain))
+    rows = _with_next(plain)
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long")).withColumn(
         "edited",
@@ -228,8 +229,13 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     Rows that share a doc_id find theirs by their fingerprint.
     """
     key = F.sha2("fingerprint", 256).alias("_key")
-    near = near_documents(docs).select(F.col("doc_id").alias("_doc"), key, "component_id").where("_doc is not null").distinct()
+    near = near_documents(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_doc"), key, "component_id").distinct()
+    near = staged(near, "near")
+    if near.limit(SMALL_SET + 1).count() <= SMALL_SET:
+        near = F.broadcast(near)
     rows = edited_fingerprints(docs)
-    return rows.select("*", key.alias("_own")).join(near, (F.col("doc_id") == F.col("_doc")) & (F.col("_own") == F.col("_key")), "left").select(
-        *rows.columns, "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    joined = rows.select("*", key.alias("_own")).join(near, (F.col("doc_id") == F.col("_doc")) & (F.col("_own") == F.col("_key")), "left")
+    component = F.coalesce("component_id", "doc_id")
+    return joined.select(
+        *rows.columns, component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
     )
