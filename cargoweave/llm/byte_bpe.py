@@ -13,7 +13,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cargoweave.llm.common import WHITE, Memo, chunks, text_batches
 
@@ -239,21 +239,23 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     NULL texts count as empty and have no ids. Rows are independent of each other; other
     columns stay as they are (a column named ids is replaced).
     """
-    kept = [c for c in docs.columns if c not in ("text", "ids")]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "ids array<int>"])
+    kept = [k for k, c in enumerate(docs.columns) if c.lower() not in ("text", "ids")]
+    schema = T.StructType([*(docs.schema[k] for k in kept), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column(len(kept)).to_pylist()
             for start, part in text_batches(texts):
                 raw = list(_encoded(path, pattern, part))
                 offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(raw), np.int32)))
-                columns = [batch.column(c).slice(start, len(part)) for c in kept]
-                yield pa.RecordBatch.from_arrays([*columns, ids], [*kept, "ids"])
+                columns = [c.slice(start, len(part)) for c in batch.columns[: len(kept)]]
+                yield pa.RecordBatch.from_arrays([*columns, ids], schema.names)
         _memory(path, pattern).clear()
 
-    return docs.select(*kept, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # own columns may have any name
+    text = [c.lower() for c in docs.columns].index("text")
+    return plain.select(*[f"c{k}" for k in kept], F.col(f"c{text}").cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -170,7 +170,7 @@ def _fills(units: DataFrame, state: DataFrame) -> DataFrame:
 def with_copies(rows: DataFrame, made: DataFrame, size: Column) -> DataFrame:
     """``rows`` (doc_id, source, ...) of this ``size`` with source_size, target and copies by a plan."""
     n = made.agg(F.count("*").alias("sources"), F.coalesce(F.sum(F.size("fills")), F.lit(0)).alias("fills")).first()
-    made = made.withColumnsRenamed({c: f"_{c}" for c in made.columns})
+    made = made.withColumnsRenamed({c: f"_{c}" for c in made.columns})  # rows have names of this module or c1, c2 ...
     fills = made.select(F.col("_source").alias("_of"), F.explode("_fills").alias("_fill"))
     made = made.drop("_fills")
     place, source = draw(F.col("doc_id")), F.col("source").cast("string")
@@ -200,11 +200,10 @@ def taken(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """``docs`` with every row as often as the mix takes it."""
-    made = plan(sizes(docs))
-    clash = [c for c in docs.columns if c in ("source_size", "target", "copies", "_copy")]
-    repeated = with_copies(docs.withColumnsRenamed({c: f"{c}_own" for c in clash}), made, word_count(F.col("text")))
-    return (
-        repeated.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*[F.col(f"{c}_own").alias(c) if c in clash else F.col(c) for c in docs.columns])
-    )
+    """``docs`` with every row as often as the mix takes it. Other columns may have any name."""
+    names = [c.lower() for c in docs.columns]
+    own = {"doc_id": "doc_id", "source": "source", "text": "text"}
+    plain = [own.get(c, f"c{k}") for k, c in enumerate(names)]
+    rows = docs.toDF(*plain)
+    repeated = with_copies(rows, plan(sizes(rows)), word_count(F.col("text"))).where("copies > 0")
+    return repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*plain).toDF(*docs.columns)

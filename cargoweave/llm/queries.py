@@ -145,7 +145,7 @@ ORACLE_SQL: dict[str, str] = {
     from embeddings join components on node = vec_id left join counts on a = vec_id
     """,
     "op8_source_mix": """
-    with sized as (
+    with recursive sized as (
         select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
             md5('mix:' || coalesce(doc_id::varchar, 'null')) as draw from documents
     ),
@@ -183,34 +183,21 @@ ORACLE_SQL: dict[str, str] = {
         from aims a left join summed s on s.source is not distinct from a.source
         group by a.source, a.source_size, a.target, a.whole, a.room
     ),
-    fill1 as (
-        select p.source, max((u.size, u.draw)) as best from prefix p join units u on u.source is not distinct from p.source
-        where u.size > 0 and u.size <= rest and u.draw > last group by p.source
-    ),
-    filled1 as (
-        select p.*, best[2] as draw1, rest - coalesce(best[1], 0) as rest1
-        from prefix p left join fill1 f on f.source is not distinct from p.source
-    ),
-    fill2 as (
-        select p.source, max((u.size, u.draw)) as best from filled1 p join units u on u.source is not distinct from p.source
-        where u.size > 0 and u.size <= rest1 and u.draw > last and u.draw is distinct from draw1 group by p.source
-    ),
-    filled2 as (
-        select p.*, best[2] as draw2, rest1 - coalesce(best[1], 0) as rest2
-        from filled1 p left join fill2 f on f.source is not distinct from p.source
-    ),
-    fill3 as (
-        select p.source, max((u.size, u.draw)) as best from filled2 p join units u on u.source is not distinct from p.source
-        where u.size > 0 and u.size <= rest2 and u.draw > last and u.draw is distinct from draw1 and u.draw is distinct from draw2 group by p.source
-    ),
-    filled3 as (
-        select p.*, best[2] as draw3, rest2 - coalesce(best[1], 0) as rest3
-        from filled2 p left join fill3 f on f.source is not distinct from p.source
+    fill as (
+        select source, last, rest, null::bigint as bsize, null::varchar as bdraw from prefix
+        union all
+        select source, last, rest - best.s, best.s, best.d from (
+            select f.source, f.last, f.rest, max({'s': u.size, 'd': u.draw}) as best
+            from fill f join units u on u.source is not distinct from f.source
+            where u.size > 0 and u.size <= f.rest and u.draw > f.last
+              and (f.bsize is null or u.size < f.bsize or (u.size = f.bsize and u.draw < f.bdraw))
+            group by f.source, f.last, f.rest)
     )
-    select doc_id, size, f.source_size, f.target, (size * (f.whole + case
-        when f.whole < 2 and ((d.draw <= f.last and size <= room) or list_contains([draw1, draw2, draw3], d.draw)) then 1 else 0 end
+    select doc_id, size, p.source_size, p.target, (size * (p.whole + case
+        when p.whole < 2 and ((d.draw <= p.last and size <= room) or f.bdraw is not null) then 1 else 0 end
     ))::bigint as taken
-    from sized d join filled3 f on f.source is not distinct from d.source
+    from sized d join prefix p on p.source is not distinct from d.source
+    left join fill f on f.source is not distinct from d.source and f.bdraw = d.draw
     """,
     "op11_benchmark_decontamination": """
     with item_words as (

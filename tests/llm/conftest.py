@@ -8,7 +8,8 @@ SCHEMA = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
 ])
 #: Names that operators use inside.
-CLASHING = ("id", "bucket", "copies", "target", "ids", "n_lines", "_lines", "_copy", "stretch", "key", "spans", "size", "component_id")
+CLASHING = ("id", "bucket", "copies", "target", "ids", "n_lines", "_lines", "_copy", "stretch", "key", "spans", "size", "component_id",
+            "_gone", "_doc", "_source", "_whole", "gone", "lines", "copy", "c0", "c1", "a`b", "a.b")
 
 
 def prose(random_, words):

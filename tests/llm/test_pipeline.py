@@ -59,5 +59,5 @@ def test_stages_keep_the_columns(spark, folder):
 
 
 def test_registered_names():
-    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
     assert set(ORACLE_SQL) < set(QUERIES) and RANKS and PATTERN
