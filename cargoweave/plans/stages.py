@@ -143,8 +143,9 @@ def remediate_folder(
     spark: SparkSession, path: str, schema: T.StructType, lookups: Lookups, out: str, profile: Profile | None = None
 ) -> None:
     """Read the quarantined rows that ``write_split`` left at ``path``, repair them, and write
-    both outcomes to ``out``. Rows that are held again can go through the next round from there."""
-    held = read_table(spark, f"{path}/outcome=quarantined", schema=schema)
+    both outcomes to ``out``; there may be none. Rows that are held again can go through the next round from there."""
+    whole = T.StructType([*schema.fields, T.StructField("outcome", T.StringType())])
+    held = read_table(spark, path, schema=whole).filter("outcome = 'quarantined'").drop("outcome")
     write_split(remediate(held, lookups, profile).drop("violations"), out, mode="overwrite")
 
 

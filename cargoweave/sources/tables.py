@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -148,16 +150,91 @@ def read_csv(
     )
 
 
+#: Columns that say where a row of a CSV file came from.
+SOURCE = ("source_file", "source_block", "source_modified")
+
+
+def _headings(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files below ``path`` by their heading lines. Of each file the first line is found by one
+    narrow aggregate; as many rows as there are files reach the driver, which lists them anyway."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    files: dict[str, list[str]] = {}
+    for r in lines.groupBy("file").agg(F.min_by("value", "place").alias("heading")).collect():
+        files.setdefault(r["heading"], []).append(r["file"])
+    return files
+
+
+def read_csv_files(
+    spark: SparkSession, path: str, schema: T.StructType, null_text: str = "", delimiter: str = ","
+) -> DataFrame:
+    """Typed CSV files of any headings: columns are found by name (in any case and order).
+
+    Columns that a file lacks are NULL, those that the schema lacks are left out. A row that does
+    not fit its file's heading or its types is kept, its text in ``_corrupt_record``, and each row
+    says which file and block it came from and when that was last changed (``SOURCE``).
+    Files are read together with all others of the same heading.
+    """
+    known = {f.name.lower(): f for f in schema}
+    parts = []
+    for heading, files in sorted(_headings(spark, path).items()):
+        names = next(csv.reader([heading], delimiter=delimiter))
+        listed = [n.strip().lower() for n in names]
+        if repeated := {n for n in listed if listed.count(n) > 1}:
+            raise ValueError(f"heading {heading!r} has {sorted(repeated)} more than once")
+        fields = [known.get(n) or T.StructField(f"other_{k}", T.StringType()) for k, n in enumerate(listed)]
+        full = T.StructType([*fields, T.StructField(CORRUPT_RECORD, T.StringType())])
+        rows = spark.read.schema(full).options(
+            **{**_CSV, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD, "nullValue": null_text, "sep": delimiter, "enforceSchema": "true"}
+        ).csv(files)
+        parts.append(rows.select(
+            *(column(f.name) if f.name.lower() in listed else F.lit(None).cast(f.dataType).alias(f.name) for f in schema),
+            CORRUPT_RECORD, F.col("_metadata.file_path").alias(SOURCE[0]), F.col("_metadata.file_block_start").alias(SOURCE[1]),
+            F.col("_metadata.file_modification_time").alias(SOURCE[2]),
+        ))
+    if not parts:
+        places = "source_file string, source_block bigint, source_modified timestamp"
+        empty = T.StructType([*schema.fields, T.StructField(CORRUPT_RECORD, T.StringType()), *T.StructType.fromDDL(places).fields])
+        return spark.createDataFrame([], empty)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def accept_csv(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the rows of ``read_csv_files`` to ``path`` in one pass, and read back the good ones and, as
+    text with their places, the corrupt ones."""
+    outcome = F.when(F.col(CORRUPT_RECORD).isNull(), "accepted").otherwise("quarantined")
+    rows.withColumn("outcome", outcome).write.partitionBy("outcome").parquet(path)
+    whole = T.StructType([*rows.schema.fields, T.StructField("outcome", T.StringType())])
+    written = rows.sparkSession.read.schema(whole).parquet(path)
+    good = written.filter("outcome = 'accepted'").drop("outcome", CORRUPT_RECORD)
+    return good, written.filter("outcome = 'quarantined'").select(CORRUPT_RECORD, *SOURCE)
+
+
 def search_documents(df: DataFrame, id_column: str = "RECORD_ID") -> DataFrame:
     """One JSON document per row for a search index, keyed by ``id_column``.
 
     Exact copies of a row share its id; the second and later ones get their number behind it.
+    Rows without an id have none here either. Ids that occur once, nearly all, are told from others
+    by a narrow aggregate, and only rows that share one are numbered: within the tasks that read
+    them, from where the tasks before end. Give it a written table, as it is read twice.
     """
-    number = F.row_number().over(Window.partitionBy(column(id_column)).orderBy(column(id_column)))
-    return df.select(
-        F.when(number == 1, column(id_column)).otherwise(F.concat_ws("-", column(id_column), number)).alias("id"),
-        F.to_json(F.struct(*map(column, df.columns))).alias("document"),
+    key = column(id_column)
+    shared = df.groupBy(key.alias("shared_id")).agg(F.count("*").alias("n")).where("n > 1 and shared_id is not null").select("shared_id")
+    document = F.to_json(F.struct(*map(column, df.columns))).alias("document")
+    rows = df.select(key.alias("id"), document, F.spark_partition_id().alias("part"))
+    alone = rows.join(shared, rows["id"] == shared["shared_id"], "left_anti").select("id", "document")
+    copies = rows.join(shared, rows["id"] == shared["shared_id"], "left_semi")
+    before = Window.partitionBy("id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = copies.groupBy("id", "part").agg(F.count("*").alias("here"))
+    starts = counts.select("id", "part", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("id", "part").orderBy("document"))
+    number = F.col("place") + F.col("start")
+    numbered = copies.withColumn("place", place).join(starts, ["id", "part"]).select(
+        F.when(number == 1, F.col("id")).otherwise(F.concat_ws("-", "id", number)).alias("id"), "document"
     )
+    return alone.unionByName(numbered)
 
 
 def write_search_documents(
@@ -165,3 +242,14 @@ def write_search_documents(
 ) -> None:
     """JSON lines, one document per line."""
     search_documents(df, id_column).select("document").write.mode(mode).text(path)
+
+
+def write_search_actions(
+    df: DataFrame, path: str, index: str, id_column: str = "RECORD_ID", mode: str = "errorifexists", batch: int = 10_000
+) -> None:
+    """JSON lines as a search server loads them: before each document a line that says into which
+    index it goes and under which id, files of at most ``batch`` documents."""
+    docs = search_documents(df, id_column)
+    action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), F.col("id").alias("_id")).alias("index")))
+    lines = docs.select(F.concat(action, F.lit("\n"), F.col("document")).alias("value"))
+    lines.write.mode(mode).option("maxRecordsPerFile", batch).text(path)

@@ -509,6 +509,13 @@ _BODIES = {
       cast(substr(table_name, 19, 2) as integer) as month from raw_names""",
     "search_docs": """select RECORD_ID, ARRIVAL_DATE, HS_CODE, IMPORTER_NAME, EXPORTER_NAME,
       CIF_VALUE, QUANTITY, QUANTITY_UNIT, IMPORT_DATA_TYPE from processed""",
+    "search_actions": """select t.*, (select 2 * count(*) from processed) as written_ids
+      from (select * from processed union all select * from processed) t""",
+    "csv_drift": """select DECLARATION_NUMBER, ITEM_NO, ARRIVAL_DATE, CIF_VALUE,
+      case when ITEM_NO <= 3 then PRODUCT_DETAILS end as PRODUCT_DETAILS, cast(null as varchar) as record,
+      case when ITEM_NO <= 3 then 'a' else 'b' end as folder from shipments where ITEM_NO <= 5
+      union all select null, null, null, null, null, concat(DECLARATION_NUMBER, ',', cast(cast(ITEM_NO as integer) as varchar), '.0,no date,torn'), 'c'
+      from shipments where ITEM_NO > 5""",
     "rename_columns": "select * from raw",
     "add_columns": "select * from added",
     "record_id": "select DECLARATION_NUMBER, ITEM_NO, RECORD_ID from added",
@@ -585,6 +592,7 @@ _BODIES = {
     "stage_ta": with_ta("p_country", "EXPORTER", "IMPORTER"),
     "process_full": "select * from processed",
     "incremental_equals_batch": "select * from processed",
+    "incremental_resent": """select distinct *, case when violations = '' then 'accepted' else 'quarantined' end as outcome from checked""",
 }
 
 

@@ -15,7 +15,7 @@ from cargoweave.operators.lookup import measured
 from cargoweave.plans import stages as S
 from cargoweave.profiles import AR_IMPORT, CR_EXPORT, CR_IMPORT
 from cargoweave.sources import ledger as L, published as P, tables as T
-from cargoweave.streaming.incremental import process_new_files, read_processed
+from cargoweave.streaming.incremental import process_arrivals, process_new_files, read_arrivals, read_processed
 from checks import stand_ins as D
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,35 @@ def search_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )))
 
 
+@query
+def search_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written with action lines, every row twice, and read back: all columns of the documents, with the
+    number of different ids that the action lines hold."""
+    rows, path = T.stage(process_full(spark, sf_dir), "processed"), T.new_path(spark, "actions")
+    T.write_search_actions(rows.unionByName(rows), path, "shipments", batch=5000)
+    lines = spark.read.text(path)
+    action = F.get_json_object("value", "$.index._id")
+    ids = lines.where(F.col("value").startswith('{"index":')).agg(F.countDistinct(action).alias("written_ids"))
+    documents = lines.where(~F.col("value").startswith('{"index":')).select(F.from_json("value", rows.schema).alias("row")).select("row.*")
+    return documents.join(F.broadcast(ids))
+
+
+@query
+def csv_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of different headings, some rows torn: every row is accepted, or kept as text with its place."""
+    rows, path = D.shipments(spark, sf_dir).select("DECLARATION_NUMBER", "ITEM_NO", "ARRIVAL_DATE", "CIF_VALUE", "PRODUCT_DETAILS"), T.new_path(spark, "drift")
+    item = F.col("ITEM_NO")
+    T.write_csv(rows.where(item <= 3), f"{path}/a")
+    T.write_csv(rows.where(item.between(4, 5)).select("CIF_VALUE", F.lit("x").alias("EXTRA"), "ARRIVAL_DATE", "ITEM_NO", "DECLARATION_NUMBER"), f"{path}/b")
+    torn = rows.where(item > 5).select(F.concat_ws(",", "DECLARATION_NUMBER", "ITEM_NO", F.lit("no date"), F.lit("torn")).alias("DECLARATION_NUMBER,ITEM_NO,ARRIVAL_DATE,CIF_VALUE"))
+    torn.write.option("header", "true").option("quote", "").option("sep", "|").csv(f"{path}/c")
+    good, bad = T.accept_csv(T.read_csv_files(spark, f"{path}/*", rows.schema), T.new_path(spark, "csv-split"))
+    folder = F.element_at(F.split("source_file", "/"), -2)
+    return good.select(*rows.columns, F.lit(None).cast("string").alias("record"), folder.alias("folder")).unionByName(bad.select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema), F.col(T.CORRUPT_RECORD).alias("record"), folder.alias("folder")
+    ))
+
+
 # Schema operators
 
 
@@ -537,3 +566,16 @@ def incremental_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             out, checkpoint, max_files_per_batch=8,
         )
     return read_processed(spark, out, process_full(spark, sf_dir).schema)
+
+
+@query
+def incremental_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrivals, the last one a file that came before: split rows of all micro-batches."""
+    raw, lookups = D.raw_cr_import(spark, sf_dir), D.lookups(spark, sf_dir)
+    landing, out = T.new_path(spark, "landing"), T.new_path(spark, "arrivals")
+    early = F.coalesce(F.col("DATE") < "1995-07-01", F.lit(True))
+    for part in (raw.filter(early), raw.filter(~early), raw.filter(early)):
+        T.write_table(part, landing, mode="append")
+        process_arrivals(spark, landing, raw.schema, CR_IMPORT, lookups, out, max_files_per_batch=8)
+    schema = S.process(raw, CR_IMPORT, lookups, keep_source=True).schema
+    return as_text(read_arrivals(spark, out, schema).drop(S.AS_CAME), "violations")

@@ -109,3 +109,35 @@ def test_data_type_by_name(spark):
     assert X.data_type_of_name("cr_imp_2024") == "IMPORT" and X.data_type_of_name("exp") == "EXPORT"
     with pytest.raises(ValueError):
         X.data_type_of_name("cr_2024")
+
+
+def test_csv_files_of_any_heading(spark, rows):
+    path = T.new_path(spark, "drift")
+    T.write_csv(spark.createDataFrame([(1, "x", 1.5)], "id int, name string, v double"), f"{path}/1")
+    T.write_csv(spark.createDataFrame([(2.5, "y, z", "extra", 2)], "V double, Name string, other string, ID int"), f"{path}/2")
+    T.write_csv(spark.createDataFrame([(3,)], "id int"), f"{path}/3")
+    spark.createDataFrame([("id,v",), ("4,oops",), ("5,5.5",), ("6",), ("7,7.5,7",)], "l string").coalesce(1).write.text(f"{path}/4")
+    schema = spark.createDataFrame([], "id int, name string, v double").schema
+    read = T.read_csv_files(spark, f"{path}/*", schema)
+    good, bad = T.accept_csv(read, T.new_path(spark, "split"))
+    assert rows(good.select("id", "name", "v")) == sorted([(1, "x", 1.5), (2, "y, z", 2.5), (3, None, None), (5, None, 5.5)], key=repr)
+    held = bad.collect()
+    assert sorted(r[T.CORRUPT_RECORD] for r in held) == ["4,oops", "6", "7,7.5,7"]
+    assert all("/4/" in r["source_file"] and r["source_block"] == 0 and r["source_modified"] for r in held)
+    spark.createDataFrame([("id,id",), ("1,2",)], "l string").coalesce(1).write.text(f"{path}/5")
+    with pytest.raises(ValueError, match="more than once"):
+        T.read_csv_files(spark, f"{path}/*", schema)
+
+
+def test_copies_get_numbers_wherever_they_are_read(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), (None, 3)] + [("c", 4)] * 7, "RECORD_ID string, v int").repartition(3)
+    table = T.stage(df, "rows")
+    found = T.search_documents(table).collect()
+    assert sorted(r.id for r in found if r.id) == ["a", "b", "c", *[f"c-{k}" for k in range(2, 8)]]
+    assert sum(r.id is None for r in found) == 2
+    path = T.new_path(spark, "actions")
+    T.write_search_actions(table, path, "ix", batch=2)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert len(lines) == 22 and sum(x.startswith('{"index":{"_index":"ix"') for x in lines) == 11
+    files = spark.read.text(path).groupBy(F.col("_metadata.file_path")).count().collect()
+    assert max(f["count"] for f in files) <= 4
