@@ -498,6 +498,10 @@ _REMEDY_VIEWS = {
     "r_hs": described("r_filled"),
 }
 
+COMPANY_FILE = f"""select distinct IMPORTER_TA_CODE as TA_CODE, IMPORTER_TAX_ID as COMPANY_TAX_ID,
+      IMPORTER_NAME as COMPANY_NAME, cast(null as varchar) as COMPANY_ADDRESS,
+      cast(null as varchar) as CITY_STATE from ({with_ta('ships_coded', 'IMPORTER')})"""
+
 _BODIES = {
     "scan_shipments": "select * from shipments",
     "roundtrip_write": "select * from shipments",
@@ -532,9 +536,13 @@ _BODIES = {
     "conform_cr_export": f"""select * exclude (ARRIVAL_DATE, RECORD_ID),
       date '1900-01-01' as ARRIVAL_DATE, {EXPORT_ID} as RECORD_ID from conformed""",
     "conform_ar_import": CONFORM_AR,
-    "company_file": f"""select distinct IMPORTER_TA_CODE as TA_CODE, IMPORTER_TAX_ID as COMPANY_TAX_ID,
-      IMPORTER_NAME as COMPANY_NAME, cast(null as varchar) as COMPANY_ADDRESS,
-      cast(null as varchar) as CITY_STATE from ({with_ta('ships_coded', 'IMPORTER')})""",
+    "rules_of_text": """select DECLARATION_NUMBER, ITEM_NO, case when ITEM_NO in (2, 3) then 'ARRIVAL_DATE:date'
+      when ITEM_NO in (4, 5) then 'EXPORT_DATA_TYPE:short' when ITEM_NO = 6 then 'QUANTITY:float' else '' end as violations
+      from shipments""",
+    "company_rules": f"""select *, concat_ws(',', {tag('TA_CODE is null', 'TA_CODE:exist')},
+      {tag(f"TA_CODE is not null and not {is_ta('TA_CODE')}", 'TA_CODE:ta_code')}, {tag('COMPANY_NAME is null', 'COMPANY_NAME:exist')}) as violations
+      from ({COMPANY_FILE})""",
+    "company_file": COMPANY_FILE,
     "blank_to_null": "select * replace (nullif(HS_CODE, '') as HS_CODE) from shipments",
     "hs_enrich": described("shipments"),
     "country_code_map": coded("shipments", "EXPORTER_COUNTRY"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargoweave.functions.expressions import company_key, data_type_of
 from cargoweave.functions.parsing import date_as, number_as
+from cargoweave.layout import COMPANY_FIELDS
 from cargoweave.operators import conform as C, enrich as E, quality as Q
 from cargoweave.operators.lookup import measured
 from cargoweave.plans import stages as S
@@ -380,6 +381,24 @@ def rule_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.rule_summary(process_full(spark, sf_dir))
 
 
+@query
+def rules_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that only texts can break: days that do not exist, numbers out of range or in other forms."""
+    item, rows = F.col("ITEM_NO"), D.shipments(spark, sf_dir)
+    date = F.when(item == 2, "2020-02-30").when(item == 3, "31/12/2020").otherwise(F.col("ARRIVAL_DATE").cast("string"))
+    kind = F.when(item == 4, "70000").when(item == 5, "4.5").otherwise("4")
+    quantity = F.when(item == 6, "12,5").otherwise(F.col("QUANTITY").cast("string"))
+    checked = Q.with_violations(C.finalize(rows.withColumns({"ARRIVAL_DATE": date, "EXPORT_DATA_TYPE": kind, "QUANTITY": quantity})))
+    only = F.filter("violations", lambda v: v.rlike(":(date|short|float)$"))
+    return checked.select("DECLARATION_NUMBER", "ITEM_NO", F.concat_ws(",", only).alias("violations"))
+
+
+@query
+def company_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The company file under the rules of its own layout."""
+    return as_text(Q.with_violations(company_file(spark, sf_dir), fields=COMPANY_FIELDS), "violations")
+
+
 @query
 def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.accepted_rows(process_full(spark, sf_dir))
