@@ -27,7 +27,7 @@ SIMILAR = 0.75
 #: Cells by which signatures are counted to order them by rarity.
 CELLS = 65_536
 #: Longs of a sketch of a set: the parity of how many signatures fall on each of their bits.
-SKETCH_LONGS = 8
+SKETCH_LONGS = 16
 
 
 def signed(df: DataFrame, text: str = "text", out: str = "signatures") -> DataFrame:
@@ -91,7 +91,7 @@ def _rarity(sets: DataFrame) -> Column:
 
 def _sketch(s: str) -> Column:
     """Bits of a set. Sets never differ in fewer signatures than their sketches do in bits."""
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 3).bitwiseAND(F.lit(63)))
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, SKETCH_LONGS.bit_length() - 1).bitwiseAND(F.lit(63)))
     return F.array(*(
         F.aggregate(F.filter(s, lambda x, w=w: x.bitwiseAND(F.lit(SKETCH_LONGS - 1)) == w), F.lit(0).cast("long"), lambda all_, x: all_.bitwiseXOR(bit(x)))
         for w in range(SKETCH_LONGS)
@@ -105,20 +105,25 @@ def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     Documents are partitioned by the length of their sets, each partition reaching as far as
     a set can differ in length; a pair is met in its own or the next partition, through a
     signature among the rarest ones of both (of n, all but those that must be shared, and one). Equal
-    sets are one node. Where many meet, sketches of the sets show which can be alike at all. Texts without signatures, NULL ids and empty tables link with nothing.
+    sets are one node. Where many meet, places of the signature and sketches of the sets show which can
+    be alike at all. Texts without signatures, NULL ids and empty tables link with nothing.
     """
     rows = staged(signed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "signatures"), "signed")
     sets = staged(
         rows.where((F.size("signatures") > 0) & F.col("doc_id").isNotNull()).groupBy("signatures").agg(F.min("doc_id").alias("id")), "sets"
     )
-    nodes = sets.groupBy("id").agg(F.min("signatures").alias("s"))
-    n = F.size("s")
-    length = F.floor(F.log(n) / F.lit(-math.log(least))).cast("int")
     rarity = _rarity(sets)
     ordered = F.transform(F.array_sort(F.transform("s", lambda x: F.struct(rarity(x).alias("r"), x.alias("x")))), lambda y: y["x"])
-    first = F.explode(F.slice(ordered, 1, n - F.ceil(n * F.lit(least)).cast("int") + 1))
+    n = F.size("s")
+    nodes = staged(
+        sets.groupBy("id").agg(F.min("signatures").alias("s")).select(
+            "id", "s", F.floor(F.log(n) / F.lit(-math.log(least))).cast("int").alias("length"),
+            F.slice(ordered, 1, n - F.ceil(n * F.lit(least)).cast("int") + 1).alias("first"), _sketch("s").alias("sketch"),
+        ),
+        "nodes",
+    )
     buckets = (
-        nodes.select("id", length.alias("length"), first.alias("signature"))
+        nodes.select("id", "length", F.explode("first").alias("signature"))
         .select("id", "signature", F.explode(F.array("length", F.col("length") + 1)).alias("length"))
         .select(F.xxhash64("length", "signature").alias("bucket"), "id")
     )
@@ -130,12 +135,24 @@ def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
         return both.where(likeness("sa", "sb", least) >= least).select("a", "b")
 
     def attach(rest: DataFrame) -> DataFrame:
-        return rest.join(nodes.select("id", F.size("s").alias("n"), _sketch("s").alias("sketch")), "id")
+        """The sizes and sketches of sets, and how many signatures come before the bucket's."""
+        place = lambda length: F.array_position(F.transform("first", lambda x: F.xxhash64(length, x)), F.col("bucket"))
+        at = F.greatest(place(F.col("length")), place(F.col("length") + 1)) - 1
+        return rest.join(nodes.select("id", n.alias("n"), "sketch", "first", "length"), "id").select(
+            *rest.columns, "n", "sketch", at.alias("at")
+        )
 
     def likely() -> Column:
+        """Three tests that no likely pair fails in the bucket of the first signature it shares: sizes, what
+        can be shared from there on, and how many signatures the sketches show to differ."""
         small, large = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
+        both = F.col("l_n") + F.col("r_n")
         words = [F.bit_count(F.col("l_sketch")[i].bitwiseXOR(F.col("r_sketch")[i])) for i in range(SKETCH_LONGS)]
-        return (small >= large * F.lit(least)) & (sum(words[1:], words[0]) * F.lit(1 + least) <= (F.col("l_n") + F.col("r_n")) * F.lit(1 - least))
+        return (
+            (small >= large * F.lit(least))
+            & (F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at")) * F.lit(1 + least) >= both * F.lit(least) - 1e-6)
+            & (sum(words[1:], words[0]) * F.lit(1 + least) <= both * F.lit(1 - least) + 1e-6)
+        )
 
     found = linked_components(buckets.distinct(), verify, attach, likely).withColumnRenamed("node", "id")
     groups = sets.join(found, "id", "left").select("signatures", F.coalesce("component", "id").alias("component_id"))
