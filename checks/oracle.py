@@ -147,17 +147,17 @@ def ported(table: str, *pairs: tuple[str, str]) -> str:
 PORTS = (("IMPORTER_COUNTRY", "PORT_OF_ARRIVAL"), ("EXPORTER_COUNTRY", "PORT_OF_DEPARTURE"))
 
 
-def described(table: str, codes: str = "hs_desc") -> str:
+def described(table: str, codes: str = "hs_desc", country: str = "CR") -> str:
     return f"""select t.* replace (coalesce(h.new_HS_CODE, t.HS_CODE) as HS_CODE,
       coalesce(h.HS_CODE_DESC, t.HS_CODE_DESCRIPTION) as HS_CODE_DESCRIPTION)
-      from {table} t left join (select * from {codes} where country = 'CR') h
+      from {table} t left join (select * from {codes} where country = '{country}') h
       on t.HS_CODE = h.HS_CODE"""
 
 
-def converted(table: str) -> str:
+def converted(table: str, country: str = "CR") -> str:
     return f"""select t.* replace (coalesce(m.new_unit, t.QUANTITY_UNIT) as QUANTITY_UNIT,
       case when m.factor is not null then t.QUANTITY * m.factor else t.QUANTITY end as QUANTITY)
-      from {table} t left join (select * from unit_map where country = 'CR') m
+      from {table} t left join (select * from unit_map where country = '{country}') m
       on t.QUANTITY_UNIT = m.unit"""
 
 
@@ -604,8 +604,21 @@ _BODIES = {
 }
 
 
+_AR_VIEWS = {
+    "a_conformed": CONFORM_AR,
+    "a_coded": coded("a_conformed", *COUNTRY_COLUMNS),
+    "a_country": ported("a_coded", *PORTS),
+    "a_hs": described("a_country", country="AR"),
+    "a_quantity": converted("a_hs", "AR"),
+    "a_processed": with_ta("a_quantity", "EXPORTER", "IMPORTER"),
+}
+PROCESS_AR = """select RECORD_ID, DECLARATION_NUMBER, ARRIVAL_DATE, HS_CODE, HS_CODE_DESCRIPTION, QUANTITY, QUANTITY_UNIT,
+  COUNTRY_OF_ORIGIN, EXPORTER_COUNTRY, IMPORTER_COUNTRY, PORT_OF_ARRIVAL, PORT_OF_DEPARTURE, IMPORTER_TA_CODE, EXPORTER_TA_CODE,
+  FOB_VALUE, FOB_CURRENCY, GROSS_WEIGHT, DATA_TYPE from a_processed"""
+
 #: Bodies with views of their own.
 _WITH_VIEWS = {
+    "process_ar": (_AR_VIEWS, PROCESS_AR),
     "remediated_rows": (_REMEDY_VIEWS, REMEDIATED),
     "text_local": (_LOCAL_VIEWS, TEXT_LOCAL),
     "text_remediated": (_TEXT_VIEWS, TEXT_REMEDIATED),

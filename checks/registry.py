@@ -458,6 +458,17 @@ def process_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.process(D.raw_cr_import(spark, sf_dir), CR_IMPORT, D.lookups(spark, sf_dir))
 
 
+@query
+def process_ar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Argentina from raw table to processed table; days that do not exist leave no date."""
+    processed = S.process(D.raw_ar_import(spark, sf_dir), AR_IMPORT, D.lookups(spark, sf_dir, "AR"))
+    return processed.select(
+        "RECORD_ID", "DECLARATION_NUMBER", "ARRIVAL_DATE", "HS_CODE", "HS_CODE_DESCRIPTION", "QUANTITY", "QUANTITY_UNIT",
+        "COUNTRY_OF_ORIGIN", "EXPORTER_COUNTRY", "IMPORTER_COUNTRY", "PORT_OF_ARRIVAL", "PORT_OF_DEPARTURE",
+        "IMPORTER_TA_CODE", "EXPORTER_TA_CODE", "FOB_VALUE", "FOB_CURRENCY", "GROSS_WEIGHT", "DATA_TYPE",
+    )
+
+
 @query
 def process_full_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No lookup may be broadcast."""
