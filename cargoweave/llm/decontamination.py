@@ -363,7 +363,7 @@ def without_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the spans as hits."""
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated, from ``find_passages``."""
     found = find_passages(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
     return found.select(

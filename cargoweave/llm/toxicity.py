@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -138,7 +139,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Ordinal | None:
 
     The sample is those with the smallest hashes of doc_id, so it does not depend on the
     order of rows; it bounds what is sent to the tasks and what comes back to the driver.
-    Labels that are NULL, or of no document, do not count.
+    Labels that are NULL, or of no document, do not count. None, with a warning, if the labelled
+    documents do not make a model.
     """
     wanted = [
         labels.where((F.col("toxic") == kind) & F.col("doc_id").isNotNull())
@@ -157,11 +159,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Ordinal | None:
 
     sample = texts.join(F.broadcast(wanted[0].union(wanted[1])), "_doc").select("_doc", "_toxic", "_text")
     found = sample.mapInArrow(run, "doc long, toxic int, features array<long>").toArrow().sort_by([("doc", "ascending"), ("toxic", "ascending")])
-    if not found.num_rows:
-        return None
-    column = found.column("features").combine_chunks()
-    rows = np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])
-    return fit(rows, found.column("toxic").to_numpy().astype(np.float64))
+    model = None
+    if found.num_rows:
+        column = found.column("features").combine_chunks()
+        rows = np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])
+        model = fit(rows, found.column("toxic").to_numpy().astype(np.float64))
+    if model is None:
+        warnings.warn(f"no model of toxicity from {found.num_rows} labelled documents: nothing will be rejected", stacklevel=2)
+    return model
 
 
 def score(docs: DataFrame, model: Ordinal | None) -> DataFrame:
