@@ -92,10 +92,12 @@ def _rarity(sets: DataFrame) -> Column:
 def _sketch(s: str) -> Column:
     """Bits of a set. Sets never differ in fewer signatures than their sketches do in bits."""
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, SKETCH_LONGS.bit_length() - 1).bitwiseAND(F.lit(63)))
-    return F.array(*(
-        F.aggregate(F.filter(s, lambda x, w=w: x.bitwiseAND(F.lit(SKETCH_LONGS - 1)) == w), F.lit(0).cast("long"), lambda all_, x: all_.bitwiseXOR(bit(x)))
-        for w in range(SKETCH_LONGS)
-    ))
+
+    def word(w: int) -> Column:  # a lambda with another parameter would get the place in the array
+        mine = F.filter(s, lambda x: x.bitwiseAND(F.lit(SKETCH_LONGS - 1)) == w)
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda all_, x: all_.bitwiseXOR(bit(x)))
+
+    return F.array(*map(word, range(SKETCH_LONGS)))
 
 
 def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:

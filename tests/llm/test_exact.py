@@ -483,6 +483,18 @@ def test_an_outlying_id_crowds_no_stretch(spark, monkeypatch):
         assert x["s"] == sum(b <= x["doc_id"] for b in borders), plain[:3]
 
 
+def test_sketches_differ_in_no_more_bits_than_sets_in_signatures(spark):
+    r = random.Random(9)
+    sets = [sorted({r.randrange(-(2**31), 2**31) for _ in range(r.randrange(1, 300))}) for _ in range(20)]
+    sets += [sorted({*s[: -len(s) // 5], r.randrange(2**31)}) for s in sets]
+    df = spark.createDataFrame([(s,) for s in sets], "s array<int>")
+    sketches = [x[0] for x in df.select(fingerprints._sketch("s")).collect()]
+    for a in range(len(sets)):
+        for b in range(a):
+            bits = sum(bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(sketches[a], sketches[b]))
+            assert bits <= len(set(sets[a]) ^ set(sets[b])) and (bits > 0) == (sets[a] != sets[b])
+
+
 def test_near_documents_are_brute_force(docs, rows_in):
     known = {i: py_signatures(t) for i, t, *_ in rows_in if i is not None}
     ids = sorted(known)
