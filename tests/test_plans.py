@@ -1,6 +1,6 @@
 import pytest
 
-from cargoweave.operators import enrich as E, quality as Q
+from cargoweave.operators import enrich as E, lookup, quality as Q
 from cargoweave.plans import stages as S
 from cargoweave.profiles import CR_IMPORT
 from cargoweave.sources import ledger as L, published as P, tables as T
@@ -92,3 +92,26 @@ def test_run_table_writes_audits_and_marks(spark, raw, lookups):
     assert [r.table_name for r in L.read_ledger(spark, ledger).collect()] == [name]
     with pytest.raises(ValueError, match="import from export"):
         S.run_table(spark, "yeni_veri_cr_2024_01", raw, "CR", lookups, out, ledger)
+
+
+def test_large_lookups_take_two_passes_and_at_most_three_shuffles(spark, raw, conf, plan, monkeypatch):
+    """The keys are counted before and after the countries are mapped; a lookup whose keys are all frequent shuffles nothing."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.shuffle.partitions", "32")
+    large, passes = D.lookups(spark, SF, broadcast_bytes=0), []
+    write = lookup.stage
+    monkeypatch.setattr(lookup, "stage", lambda df, name: passes.append(name) or write(df, name))
+    df = S.process(raw, CR_IMPORT, large)
+    assert passes.count("held-keys") == 2
+    tree = plan(df).split("\n\n")[0]
+    assert 0 < tree.count("ShuffledHashJoin LeftOuter") <= 3
+
+
+def test_rule_summary_of_texts_is_one_scan(spark, lookups, plan, rows):
+    text = T.stage(D.raw_as_text(spark, SF), "text")
+    processed = T.stage(S.process(text, CR_IMPORT, lookups), "processed")
+    summary = Q.rule_summary(processed)
+    assert plan(summary).count("ReadSchema:") == 1
+    each = Q.with_violations(processed).selectExpr("explode(violations) as v").groupBy("v").count()
+    # what did not fit its type is NULL, and in the rules of that type only by its text
+    assert rows(summary.selectExpr("concat(column_name, ':', check_name)", "n")) == rows(each)
