@@ -141,3 +141,18 @@ def test_copies_get_numbers_wherever_they_are_read(spark):
     assert len(lines) == 22 and sum(x.startswith('{"index":{"_index":"ix"') for x in lines) == 11
     files = spark.read.text(path).groupBy(F.col("_metadata.file_path")).count().collect()
     assert max(f["count"] for f in files) <= 4
+
+
+@pytest.mark.parametrize("few", [10, 1])
+def test_copies_of_few_or_many_ids_are_numbered(spark, monkeypatch, plan, few):
+    monkeypatch.setattr(T, "SHARED_IDS", few)
+    df = spark.createDataFrame([("a", 1), (None, 3), (None, 3), ("b", 1), ("b", 2)] + [("c", 4)] * 3, "RECORD_ID string, v int").repartition(3)
+    table = T.stage(df, "rows")
+    documents = T.search_documents(table)
+    # none is sorted by its id and, of those that are alone, none is moved
+    assert "SortMergeJoin" not in plan(documents)
+    found = documents.collect()
+    assert sorted(r.id for r in found if r.id) == ["a", "b", "b-2", "c", "c-2", "c-3"]
+    assert len(found) == 8 and sum('"v":3' in r.document for r in found) == 2
+    alone = T.search_documents(table.where("v = 1"))
+    assert "Exchange" not in plan(alone) and alone.count() == 2
