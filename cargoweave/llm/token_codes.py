@@ -21,22 +21,29 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cargoweave.llm.common import WHITE, Memo, chunks, text_batches
+from cargoweave.llm.common import WHITE, Memo, text_batches
 
 MAGIC = 0x31434144
 #: Ids after which a block is closed; a block holds whole documents.
 BLOCK_IDS = 1_000_000
 #: Bits for each entry of a rank directory.
 STRIDE = 512
-REMEMBERED = 150_000
+REMEMBERED = 500_000
+#: Characters of consecutive texts whose pieces are looked up together.
+TOGETHER = 4_000_000
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint32)
+#: Kinds of ASCII bytes; 0 for control characters and the bytes of all others.
+_BLANK, _MARK, _WORD = 1, 2, 3
+_KIND = np.array(
+    [0 if i > 126 else _BLANK if chr(i) in "\t\n\x0b\x0c\r " else _WORD if chr(i).isalnum() else _MARK if i > 32 else 0 for i in range(256)], np.uint8
+)
+_WHITE_TWO, _WHITE_THREE = ([int.from_bytes(w.encode()) for w in WHITE if len(w.encode()) == n] for n in (2, 3))
 
 
 def pack(doc_ids: list[int | None], documents: list[np.ndarray]) -> bytes:
@@ -155,8 +162,13 @@ def _library_ids(path: str, texts: list[str]) -> list[np.ndarray]:
     return [np.array(f.ids, np.uint32) for f in found]
 
 
-def _encode_chunks(path: str, texts: list[str]) -> list[bytes]:
-    """The ids of each chunk. Chunks are handed to the library many at a time, joined where
+@cache
+def _special(path: str) -> list[str]:
+    return [t.content for t in _tokenizer(path).get_added_tokens_decoder().values()]
+
+
+def _encode_pieces(path: str, texts: list[str]) -> list[bytes]:
+    """The ids of each piece. Pieces are handed to the library many at a time, joined where
     no match reaches over the seam, and cut again by the bytes their ids stand for."""
     seam = [t[0] in WHITE and t[-1] not in WHITE for t in texts]
     joined = [t for t, s in zip(texts, seam) if s]
@@ -171,13 +183,48 @@ def _encode_chunks(path: str, texts: list[str]) -> list[bytes]:
     return [next(cut) if s else next(alone).tobytes() for s in seam]
 
 
+def _edges(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces of the texts that start at ``starts`` in ``raw`` (UTF-8) begin, and the end.
+
+    They begin where ASCII white space follows what is none, and where ASCII punctuation follows
+    an ASCII letter or digit. No match of a byte-level BPE pattern reaches over such a place.
+    """
+    before, here = raw[:-1], raw[1:]
+    kind, after = _KIND[before], _KIND[here]
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[1:-1] = ((after == _BLANK) & (kind >= _MARK)) | ((after == _MARK) & (kind == _WORD))
+    at = np.flatnonzero((after == _BLANK) & (before >= 128)) + 1  # the last byte of a character of several
+    last = raw[at - 2].astype(np.int32) << 8 | raw[at - 1]
+    white = np.isin(last, _WHITE_TWO) | np.isin(raw[np.maximum(at - 3, 0)].astype(np.int32) << 16 | last, _WHITE_THREE)
+    cut[at[~white]] = True
+    cut[starts] = cut[-1] = True
+    return np.flatnonzero(cut)
+
+
 def _encoded(path: str, texts: list[str]) -> Iterator[np.ndarray]:
-    """The ids of each text. The library encodes each chunk once and it is remembered."""
-    memory = _memory(path)
-    parts = [chunks(text) for text in texts]
-    known = memory.known(set(chain.from_iterable(parts)), lambda missing: _encode_chunks(path, missing))
-    for p in parts:
-        yield np.frombuffer(b"".join([known[c] for c in p]), np.uint32)
+    """The ids of each text. The library encodes each piece once and it is remembered; texts
+    with special tokens, which a piece could cut through, are encoded whole."""
+    whole = {i: t for i, t in enumerate(texts) if any(s in t for s in _special(path))}
+    special = dict(zip(whole, _library_ids(path, list(whole.values()))))
+    coded = [b"" if i in whole else t.encode() for i, t in enumerate(texts)]
+    raw = b"".join(coded)
+    bounds = np.cumsum([0, *map(len, coded)])
+    if not raw:
+        yield from (special.get(i, np.empty(0, np.uint32)) for i in range(len(texts)))
+        return
+    edges = _edges(np.frombuffer(raw, np.uint8), bounds)
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(raw)]).dictionary_encode()
+    distinct = pieces.dictionary.cast(pa.large_string()).to_numpy(zero_copy_only=False).tolist()
+    known = _memory(path).known(distinct, lambda missing: _encode_pieces(path, missing))
+    found = [known[p] for p in distinct]
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    which = pieces.indices.to_numpy()
+    n = sizes[which]
+    ends = np.cumsum(n)
+    ids = np.frombuffer(b"".join(found), np.uint32)[np.repeat((np.cumsum(sizes) - sizes)[which] - ends + n, n) + np.arange(ends[-1])]
+    cuts = np.concatenate([[0], ends])[np.searchsorted(edges, bounds)].tolist()
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        yield special[i] if i in whole else ids[a:b]
 
 
 def write_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -202,7 +249,7 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for start, texts in text_batches(batch.column(1).to_pylist()):
+            for start, texts in text_batches(batch.column(1).to_pylist(), TOGETHER):
                 for name, ids in zip(names[start:], _encoded(tokenizer, texts)):
                     doc_ids.append(name)
                     documents.append(np.concatenate([ids, end]))
