@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cargoweave.llm.common import SMALL_SET, WORD_GAP, staged
+from cargoweave.llm.common import SMALL_SET, WORD_GAP, semi, staged
 from cargoweave.llm.near import linked_components
 
 #: Anchors: frequent function words of English, Spanish, French and German. Fixed values.
@@ -101,25 +101,44 @@ def _sketch(s: str) -> Column:
 
 
 def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """(doc_id, fingerprint, component_id, kept) of ``docs`` (doc_id, text) whose signature
+    """(doc_id, fingerprint, component_id, kept): the ``_grouped`` rows of ``docs``."""
+    return _grouped(docs, least).select(
+        "doc_id", fingerprint("signatures").alias("fingerprint"), "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
+    )
+
+
+def _digest(fingerprint_: Column) -> Column:
+    """32 bytes that stand for a fingerprint where rows travel."""
+    return F.unhex(F.sha2(fingerprint_, 256))
+
+
+def _grouped(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """(doc_id, signatures, digest, component_id) of ``docs`` (doc_id, text) whose signature
     sets have a likeness of ``least`` or more, over any number of steps.
 
     Documents are partitioned by the length of their sets, each partition reaching as far as
     a set can differ in length; a pair is met in its own or the next partition, through a
     signature among the rarest ones of both (of n, all but those that must be shared, and one). Equal
     sets are one node. Where many meet, places of the signature and sketches of the sets show which can
-    be alike at all. Texts without signatures, NULL ids and empty tables link with nothing.
+    be alike at all, and whole sets travel only for pairs that may be. Texts without signatures, NULL ids and empty tables link with nothing.
     """
-    rows = staged(signed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "signatures"), "signed")
+    rows = staged(
+        signed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
+            "doc_id", "signatures", _digest(fingerprint("signatures")).alias("digest")
+        ),
+        "signed",
+    )
     sets = staged(
-        rows.where((F.size("signatures") > 0) & F.col("doc_id").isNotNull()).groupBy("signatures").agg(F.min("doc_id").alias("id")), "sets"
+        rows.where((F.size("signatures") > 0) & F.col("doc_id").isNotNull()).groupBy("digest", "signatures").agg(F.min("doc_id").alias("id")),
+        "sets",
     )
     rarity = _rarity(sets)
     ordered = F.transform(F.array_sort(F.transform("s", lambda x: F.struct(rarity(x).alias("r"), x.alias("x")))), lambda y: y["x"])
     n = F.size("s")
     nodes = staged(
         sets.groupBy("id").agg(F.min("signatures").alias("s")).select(
-            "id", "s", F.floor(F.log(n) / F.lit(-math.log(least))).cast("int").alias("length"),
+            "id", "s", n.alias("n"), F.floor(F.log(n) / F.lit(-math.log(least))).cast("int").alias("length"),
             F.slice(ordered, 1, n - F.ceil(n * F.lit(least)).cast("int") + 1).alias("first"), _sketch("s").alias("sketch"),
         ),
         "nodes",
@@ -130,37 +149,38 @@ def near_documents(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
         .select(F.xxhash64("length", "signature").alias("bucket"), "id")
     )
 
+    def alike(x: str, y: str) -> Column:
+        """Two tests that no likely pair fails: sizes, and how many signatures the sketches show to differ."""
+        small, large, both = F.least(f"{x}_n", f"{y}_n"), F.greatest(f"{x}_n", f"{y}_n"), F.col(f"{x}_n") + F.col(f"{y}_n")
+        words = [F.bit_count(F.col(f"{x}_sketch")[i].bitwiseXOR(F.col(f"{y}_sketch")[i])) for i in range(SKETCH_LONGS)]
+        return (small >= large * F.lit(least)) & (sum(words[1:], words[0]) * F.lit(1 + least) <= both * F.lit(1 - least) + 1e-6)
+
     def verify(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(nodes.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
-            nodes.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"
-        )
+        a, b = (nodes.select(F.col("id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "sketch")]) for x in "ab")
+        left = staged(pairs.join(a, "a").join(b, "b").where(alike("a", "b")).select("a", "b"), "alike")
+        whole = semi(nodes.select("id", "s"), staged(left.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids"), "id")
+        both = left.join(whole.toDF("a", "sa"), "a").join(whole.toDF("b", "sb"), "b")
         return both.where(likeness("sa", "sb", least) >= least).select("a", "b")
 
     def attach(rest: DataFrame) -> DataFrame:
         """The sizes and sketches of sets, and how many signatures come before the bucket's."""
         place = lambda length: F.array_position(F.transform("first", lambda x: F.xxhash64(length, x)), F.col("bucket"))
         at = F.greatest(place(F.col("length")), place(F.col("length") + 1)) - 1
-        return rest.join(nodes.select("id", n.alias("n"), "sketch", "first", "length"), "id").select(
+        return rest.join(nodes.select("id", "n", "sketch", "first", "length"), "id").select(
             *rest.columns, "n", "sketch", at.alias("at")
         )
 
     def likely() -> Column:
-        """Three tests that no likely pair fails in the bucket of the first signature it shares: sizes, what
-        can be shared from there on, and how many signatures the sketches show to differ."""
-        small, large = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
+        """``alike``, and what can be shared from the place of the bucket's signature on, if it is the first one shared."""
         both = F.col("l_n") + F.col("r_n")
-        words = [F.bit_count(F.col("l_sketch")[i].bitwiseXOR(F.col("r_sketch")[i])) for i in range(SKETCH_LONGS)]
-        return (
-            (small >= large * F.lit(least))
-            & (F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at")) * F.lit(1 + least) >= both * F.lit(least) - 1e-6)
-            & (sum(words[1:], words[0]) * F.lit(1 + least) <= both * F.lit(1 - least) + 1e-6)
-        )
+        rest = F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at"))
+        return (rest * F.lit(1 + least) >= both * F.lit(least) - 1e-6) & alike("l", "r")
 
     found = linked_components(buckets.distinct(), verify, attach, likely).withColumnRenamed("node", "id")
-    groups = sets.join(found, "id", "left").select("signatures", F.coalesce("component", "id").alias("component_id"))
-    return rows.join(groups, "signatures", "left").select(
-        "doc_id", fingerprint("signatures").alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    groups = sets.select("digest", "id").join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
+    return rows.join(groups, "digest", "left").select(
+        "doc_id", "signatures", "digest", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
+    )
 
 
 def _borders(ids: DataFrame) -> list[int]:
@@ -247,13 +267,12 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
 
     Rows that share a doc_id find theirs by their fingerprint.
     """
-    key = F.sha2("fingerprint", 256).alias("_key")
-    near = near_documents(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_doc"), key, "component_id").distinct()
+    near = _grouped(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_key"), "component_id").distinct()
     near = staged(near, "near")
     if near.limit(SMALL_SET + 1).count() <= SMALL_SET:
         near = F.broadcast(near)
     rows = edited_fingerprints(docs)
-    joined = rows.select("*", key.alias("_own")).join(near, (F.col("doc_id") == F.col("_doc")) & (F.col("_own") == F.col("_key")), "left")
+    joined = rows.select("*", _digest(F.col("fingerprint")).alias("_own")).join(near, (F.col("doc_id") == F.col("_doc")) & (F.col("_own") == F.col("_key")), "left")
     component = F.coalesce("component_id", "doc_id")
     return joined.select(
         *rows.columns, component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
