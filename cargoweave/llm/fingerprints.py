@@ -121,7 +121,8 @@ def _grouped(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     a set can differ in length; a pair is met in its own or the next partition, through a
     signature among the rarest ones of both (of n, all but those that must be shared, and one). Equal
     sets are one node. Where many meet, places of the signature and sketches of the sets show which can
-    be alike at all, and whole sets travel only for pairs that may be. Texts without signatures, NULL ids and empty tables link with nothing.
+    be alike at all, and whole sets travel only for pairs that may be. Texts without signatures, NULL
+    ids and empty tables link with nothing.
     """
     rows = staged(
         signed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
