@@ -11,6 +11,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from cargoweave.llm.common import staged
+
 #: Labelled documents of each kind that the model is fitted on at most, drawn by a hash.
 SAMPLE = 2000
 #: Features are those in at least so many documents of the sample, whose shares of toxic and
@@ -94,35 +96,30 @@ def _fit(rows: list[np.ndarray], places: int, grades: np.ndarray) -> tuple[np.nd
     return weights, first + np.concatenate([[0], np.cumsum(np.exp(steps))])
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Ordinal | None:
-    """A model from feature sets and 0/1 labels; None without both kinds of rows.
+def choose(names: np.ndarray, of_toxic: np.ndarray, of_all: np.ndarray, n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """The features of a model, sorted, and by how much their share of the ``n`` toxic rows exceeds that
+    of the ``m`` others; from how many toxic and how many of all rows hold each feature."""
+    of_rest = of_all - of_toxic
+    share = (of_toxic + of_rest) / (n + m)
+    error = np.sqrt(share * (1 - share) * (1 / n + 1 / m)) + 1e-12
+    excess = of_toxic / n - of_rest / m
+    chosen = np.flatnonzero((of_all >= SUPPORT) & (np.abs(excess / error) >= DEVIATIONS))
+    chosen = chosen[np.argsort(names[chosen])]
+    return names[chosen], excess[chosen]
+
+
+def fit(features: np.ndarray, excess: np.ndarray, rows: list[np.ndarray], toxic: np.ndarray) -> Ordinal:
+    """A model of chosen features from the places in them that each row holds, and 0/1 labels.
 
     The labels name two grades. Severities of toxic rows come from how many features that
     mark toxicity they hold: the rows are cut at equal shares of that count.
     """
-    if not toxic.any() or toxic.all():
-        return None
-    names, flat = np.unique(np.concatenate(rows), return_inverse=True)
-    sizes = [len(r) for r in rows]
-    of_toxic = np.bincount(flat, np.repeat(toxic, sizes), len(names))
-    of_rest = np.bincount(flat, minlength=len(names)) - of_toxic
-    n, m = toxic.sum(), (1 - toxic).sum()
-    share = (of_toxic + of_rest) / (n + m)
-    error = np.sqrt(share * (1 - share) * (1 / n + 1 / m)) + 1e-12
-    excess = of_toxic / n - of_rest / m
-    chosen = np.flatnonzero((of_toxic + of_rest >= SUPPORT) & (np.abs(excess / error) >= DEVIATIONS))
-    if not len(chosen):
-        return None
-    place = np.full(len(names), -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
-    placed = np.split(place[flat], np.cumsum(sizes)[:-1])
-    reduced = [p[p >= 0] for p in placed]
-    marks = np.array([(excess[chosen[r]] > 0).sum() for r in reduced])
+    marks = np.array([(excess[r] > 0).sum() for r in rows])
     cuts = np.quantile(marks[toxic > 0], np.arange(1, GRADES) / GRADES)
     grades = np.where(toxic > 0, 1 + np.searchsorted(cuts, marks, "left"), 0).astype(np.int64)
-    weights, thresholds = _fit(reduced, len(chosen), grades)
-    chance = _sigmoid(np.array([weights[r].sum() for r in reduced]) - thresholds[0])
-    return Ordinal(names[chosen], weights, thresholds, _cut(chance, toxic))
+    weights, thresholds = _fit(rows, len(features), grades)
+    chance = _sigmoid(np.array([weights[r].sum() for r in rows]) - thresholds[0])
+    return Ordinal(features, weights, thresholds, _cut(chance, toxic))
 
 
 def _cut(chance: np.ndarray, toxic: np.ndarray) -> float:
@@ -138,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Ordinal | None:
     """A model of at most SAMPLE toxic and SAMPLE other labelled documents.
 
     The sample is those with the smallest hashes of doc_id, so it does not depend on the
-    order of rows; it bounds what is sent to the tasks and what comes back to the driver.
+    order of rows; it bounds what is sent to the tasks. Features are counted by Spark, and the driver
+    gets counts of those with SUPPORT and, for each document of the sample, the chosen ones it holds.
     Labels that are NULL, or of no document, do not count. None, with a warning, if the labelled
     documents do not make a model.
     """
@@ -158,17 +156,41 @@ def train(docs: DataFrame, labels: DataFrame) -> Ordinal | None:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, flat)], ["doc", "toxic", "features"])
 
     sample = texts.join(F.broadcast(wanted[0].union(wanted[1])), "_doc").select("_doc", "_toxic", "_text")
-    found = sample.mapInArrow(run, "doc long, toxic int, features array<long>").toArrow().sort_by([("doc", "ascending"), ("toxic", "ascending")])
-    model = None
-    if found.num_rows:
-        column = found.column("features").combine_chunks()
-        rows = np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])
-        model = fit(rows, found.column("toxic").to_numpy().astype(np.float64))
+    sample = staged(sample.mapInArrow(run, "doc long, toxic int, features array<long>"), "sample")
+    rows = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    model = _trained(sample, rows[1], rows[0]) if len(rows) == 2 else None
     if model is None:
-        warnings.warn(f"no model of toxicity from {found.num_rows} labelled documents: nothing will be rejected", stacklevel=2)
+        warnings.warn(f"no model of toxicity from {sum(rows.values())} labelled documents: nothing will be rejected", stacklevel=2)
     return model
 
 
+def _trained(sample: DataFrame, n: int, m: int) -> Ordinal | None:
+    """A model of ``sample`` (doc, toxic, features sorted) of ``n`` toxic and ``m`` other rows; None
+    if no feature tells them apart."""
+    counts = (
+        sample.select("toxic", F.explode("features").alias("feature"))
+        .groupBy("feature").agg(F.sum("toxic").alias("of_toxic"), F.count("*").alias("of_all"))
+        .where(F.col("of_all") >= SUPPORT).toArrow()
+    )
+    features, excess = choose(*(counts.column(c).to_numpy() for c in ("feature", "of_toxic", "of_all")), n, m)
+    if not len(features):
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = []
+            for held in batch.column(2):
+                held = held.values.to_numpy()
+                place = np.minimum(np.searchsorted(features, held), len(features) - 1)
+                places.append(place[features[place] == held])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int64()))], ["doc", "toxic", "places"])
+
+    found = sample.mapInArrow(run, "doc long, toxic int, places array<long>").toArrow().sort_by([("doc", "ascending"), ("toxic", "ascending")])
+    column = found.column("places").combine_chunks()
+    rows = np.split(column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())[:-1])
+    return fit(features, excess, rows, found.column("toxic").to_numpy())
+
+
 def score(docs: DataFrame, model: Ordinal | None) -> DataFrame:
     """``docs`` (doc_id, text) as doc_id, p_toxic, severity, grade, rejected.
 

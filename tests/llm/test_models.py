@@ -1,6 +1,7 @@
 """Classifiers: held-out accuracy on the given labels, and rows out of the ordinary."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -50,6 +51,21 @@ def test_severity_grows_with_marks(spark):
     assert sorted(map(repr, kept.select("doc_id").collect())) == sorted(repr(s) for s in toxicity.score(docs, model).where("not rejected").select("doc_id").collect())
 
 
+def test_training_takes_few_features_to_the_driver(spark):
+    words = "transform(sequence(0, 2999), k -> concat('w', md5(concat(id, ':', k))))"
+    docs = spark.range(200).selectExpr("id AS doc_id", f"concat_ws(' ', {words}, IF(id % 4 = 0, 'nasty vile', 'kind')) AS text").repartition(8)
+    labels = spark.range(200).selectExpr("id AS doc_id", "CAST(id % 4 = 0 AS int) AS toxic")
+    tracemalloc.start()
+    try:
+        model = toxicity.train(docs, labels)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert set(model.features) == set(toxicity.word_features("nasty vile kind"))
+    assert model.above("nasty vile")[0] >= model.reject > model.above("kind")[0]
+    assert most < 8_000_000, "features that no model takes came to the driver"
+
+
 def test_toxicity_without_a_model(spark, docs, empty, rows_in):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     with pytest.warns(UserWarning, match="nothing will be rejected"):
