@@ -4,7 +4,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from cargoweave.operators.lookup import lookup_table, prepared
+from cargoweave.operators import conform as C
+from cargoweave.operators.lookup import found, left_lookup, lookup_table, prepared
 from cargoweave.plans import stages as S
 from cargoweave.profiles import CR_IMPORT
 from cargoweave.sources import ledger as L, tables as T
@@ -66,3 +67,58 @@ def test_ids_that_a_table_brings_stay_as_they_are(spark):
     raw = D.raw_cr_import(spark, SF).limit(20).withColumn("record_id", F.lit("not hex"))
     processed = S.process(raw, CR_IMPORT, D.lookups(spark, SF, broadcast_bytes=0))
     assert {r[0] for r in processed.select("record_id").collect()} == {"not hex"}
+
+
+def test_rows_in_parts_are_not_shuffled_for_large_lookups(spark, plan, conf, rows):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    keys = F.when(F.col("id") % 3 > 0, (F.col("id") * 7919) % 701)  # a third has none, others come often
+    fact = spark.range(20000).select(keys.alias("a"), (F.col("id") % 611).cast("string").alias("b"), F.lit("wide").alias("v"), F.lit("w").alias("w"))
+    known = spark.range(600).select(F.col("id").alias("k"), F.col("id").cast("string").alias("t"))
+    (by_number, by_text) = (lookup_table(known, [k], [v], broadcast_bytes=0) for k, v in (("k", "t"), ("t", "k")))
+
+    def looked_up(df):
+        df = left_lookup(df, by_number, {"k": F.col("a")}, {"v": F.coalesce(found("t"), F.col("v"))}, hot=[])
+        return left_lookup(df, by_text, {"t": F.col("b")}, {"w": F.coalesce(found("k").cast("string"), F.col("w"))}, hot=[])
+
+    placed = looked_up(T.in_parts(fact, "rows"))
+    text = plan(placed)
+    assert not [line for line in text.splitlines() if line.startswith("Input") and "Exchange" in line]
+    assert "Bucketed: true" in text and "hashpartitioning(_code" not in text
+    assert rows(placed.drop(T.PART)) == rows(looked_up(fact))
+
+
+def test_process_reads_a_raw_table_once_where_lookups_are_large(spark, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(text):
+        seen.add(1)
+        return text
+
+    raw = T.stage(D.raw_cr_import(spark, SF).limit(200), "raw")
+    looked = raw.withColumn("UNIT", F.udf(look, "string").asNondeterministic()("UNIT"))
+    got = S.process(looked, CR_IMPORT, D.lookups(spark, SF, broadcast_bytes=0))
+    assert T.PART not in got.columns
+    assert rows(got) == rows(S.process(raw, CR_IMPORT, D.lookups(spark, SF)))
+    assert seen.value == 200
+
+
+def test_repair_reads_held_rows_once_where_lookups_are_large(spark, rows):
+    processed = T.stage(S.process(D.raw_cr_import(spark, SF).limit(200), CR_IMPORT, D.lookups(spark, SF)), "processed")
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(text):
+        seen.add(1)
+        return text
+
+    held = processed.withColumn("HS_CODE", F.udf(look, "string").asNondeterministic()("HS_CODE"))
+    got = S.remediate(held, D.lookups(spark, SF, broadcast_bytes=0))
+    assert rows(got) == rows(S.remediate(processed, D.lookups(spark, SF)))
+    assert seen.value == 200
+
+
+def test_shuffles_are_freed_while_tables_are_written(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with T.freed_shuffles(spark), T.freed_shuffles(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name) == before
