@@ -122,3 +122,11 @@ def test_shuffles_are_freed_while_tables_are_written(spark):
     with T.freed_shuffles(spark), T.freed_shuffles(spark):
         assert spark.conf.get(name) == "true"
     assert spark.conf.get(name) == before
+
+
+def test_texts_are_read_once_by_each_parser(spark, plan):
+    df = spark.createDataFrame([(" 1.5 ", "2")], "QUANTITY string, CIF_VALUE string")
+    typed = C.type_columns(df)
+    assert typed.columns == ["QUANTITY", "CIF_VALUE", C.FAILED_CASTS]
+    assert plan(typed).count("regexp_replace(QUANTITY") == 1
+    assert [tuple(r) for r in typed.collect()] == [(1.5, 2.0, {})]
