@@ -130,3 +130,12 @@ def test_texts_are_read_once_by_each_parser(spark, plan):
     assert typed.columns == ["QUANTITY", "CIF_VALUE", C.FAILED_CASTS]
     assert plan(typed).count("regexp_replace(QUANTITY") == 1
     assert [tuple(r) for r in typed.collect()] == [(1.5, 2.0, {})]
+
+
+def test_rows_that_lie_by_their_key_are_spread_after_a_table_in_parts(spark, plan, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    fact = spark.range(1000).select((F.col("id") % 10).alias("a"), F.lit("x").alias("v")).repartition(4, "a")
+    lookup = lookup_table(spark.range(600).select(F.col("id").alias("k"), F.lit("t").alias("t")), ["k"], ["t"], broadcast_bytes=0)
+    got = left_lookup(fact, lookup, {"k": F.col("a")}, {"v": found("t")}, hot=[])
+    assert "hashpartitioning(_code" in plan(got)
